@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup
+from . import decontaminate, html_text, language_id, line_dedup, packing, quality_crf
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hit_starts") > 0).alias("contaminated"),
     )
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.fold(F.col("doc_id"), 4) == 2)
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.predict(docs, model).select("doc_id", (language_id.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_pack")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_crf.Model:
+    """Learned from labels whose document's crc32 of the id is not 0 modulo 5."""
+    return quality_crf.fit(docs, table(spark, sf_dir, "labels").where(language_id.fold(F.col("doc_id"), 5) != 0))
+
+
+@query("op2_quality_crf")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality_crf.score(docs, quality_model(spark, docs, sf_dir), keep=["doc_id"])
+    return out.select("doc_id", (language_id.fold(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("__score").alias("score"), F.when(F.col("__score") >= 0.3, 1).otherwise(0).alias("predicted"))
