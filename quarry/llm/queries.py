@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, line_dedup, packing, quality_crf
+from . import decontaminate, html_text, language_id, line_dedup, packing, quality_crf, substring_dedup
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,22 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality_crf.score(docs, quality_model(spark, docs, sf_dir), keep=["doc_id"])
     return out.select("doc_id", (language_id.fold(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("__score").alias("score"), F.when(F.col("__score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, p, md5(array_to_string(list_slice(w, p, p + 34), ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+r AS (SELECT doc_id, p FROM p WHERE h IN (SELECT h FROM p GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM r),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM d),
+m AS (SELECT k.doc_id, k.q, word, g.q IS NOT NULL AS gone FROM k LEFT JOIN g ON k.doc_id = g.doc_id AND k.q = g.q),
+s AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (WHERE NOT gone) AS kept FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op1_substring_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
