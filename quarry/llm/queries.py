@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, line_dedup, packing, quality_crf, substring_dedup
+from . import decontaminate, html_text, language_id, line_dedup, media, packing, quality_crf, substring_dedup
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,19 @@ FROM d LEFT JOIN s USING (doc_id)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_webp_media")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    back = media.read_back(media.store(docs, ["doc_id", "n_bytes"]), ["doc_id", "n_bytes"])
+    return back.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("pixels").cast("long").alias("payload_bytes"),
+        F.sha2("pixels", 256).alias("payload_sha256"),
+        F.crc32(F.substring("pixels", -16, 16)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
