@@ -1,5 +1,75 @@
-"""placeholder"""
-STAGES = []
+"""The corpus pipeline: quality, line dedup, near-duplicate removal, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet
+and read again as the next one's docs. All but the last return the columns of docs, whatever
+further columns there are; n_chars, where there is one, follows the text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.llm import decontaminate, line_dedup, near_dedup, packing, quality_crf
+from quarry.llm.queries import quality_model, tokenizer_file
+from quarry.llm.shared import table, written
+
+#: Documents whose score is at least this stay.
+MIN_QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier doesn't reject."""
+    scored = quality_crf.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.where(F.col("__score") >= MIN_QUALITY).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a document of smaller id holds too."""
+    carried = docs.withColumn("__row", F.struct(*docs.columns))
+    out = line_dedup.drop_repeated_lines(carried, keep=["__row"])
+    return _texts(out, docs, F.col("kept"))
+
+
+def _texts(out: DataFrame, docs: DataFrame, text: F.Column) -> DataFrame:
+    kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
+    new = {"text": text} | ({"n_chars": F.length(text).cast(kind)} if kind else {})
+    return out.select(*[new[c].alias(c) if c in new else F.col("__row")[c].alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near_dedup.keep_one(docs).select(*docs.columns)
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark; those that are mostly such passages go."""
+    out = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs, tokenizer_file())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("decontaminate", benchmarks),
+    ("pack", packed),
+]
+#: A trained classifier isn't SQL; tests/llm holds a brute-force version against run().
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = written(docs, f"stage-{name}")
+    return docs

@@ -165,3 +165,40 @@ def remove_spans(text: str, starts: list[int], ends: list[int]) -> str:
         at = int(b[i])
     parts.append(raw[at:])
     return b"".join(parts).decode()
+
+
+def _clean(items: list[tuple[str | None, str | None]], width: int, drop_share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(items, width)
+        for batch in batches:
+            texts = batch.column(0)
+            for lo, hi, data, off in text_slices(texts):
+                out, stay = texts.slice(lo, hi - lo).to_pylist(), []
+                for i, (n, starts, ends, _) in enumerate(windows.scan(data, off)):
+                    keep = True
+                    while starts and keep:  # what is left may hold a window again
+                        keep = covered(np.array(starts), np.array(ends), n).sum() < drop_share * n
+                        if keep:
+                            out[i] = remove_spans(out[i], starts, ends)
+                            raw = np.frombuffer(out[i].encode(), dtype=np.uint8)
+                            ((n, starts, ends, _),) = windows.scan(raw, np.array([0, len(raw)]))
+                    if keep:
+                        stay.append(i)
+                rest = batch.column(1).slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([pa.array([out[i] for i in stay], pa.string()), rest.take(pa.array(stay, pa.int32()))], names=["__text", "__row"])
+
+    return run
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, drop_share: float = 0.5, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """docs without hit words; documents of which drop_share of the words or more are hit go. The columns stay."""
+    bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
+    sizes = bench.select(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-int(sizes) // (2 * max_windows)))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    packed = docs.select(F.col(text_col).alias("__text"), row.alias("__row"))
+    for b in range(blocks):
+        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b)
+        items = [(r["item"], r["text"]) for r in part.toLocalIterator()]
+        packed = packed.mapInArrow(_clean(items, width, drop_share), packed.schema)
+    return packed.select(*[F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns])

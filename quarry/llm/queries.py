@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, language_id, line_dedup, media, near_dedup, packing, quality_crf, substring_dedup
+from . import decontaminate, html_text, language_id, licences, line_dedup, media, near_dedup, packing, quality_crf, substring_dedup
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("representative"))
+
+
+@query("op9_licence_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_paragraphs(table(spark, sf_dir, "documents"))
