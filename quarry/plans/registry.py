@@ -21,3 +21,6 @@ def query(name: str, sql: str | None = None) -> Callable:
         return f
 
     return add
+
+
+from . import reports  # noqa: E402, F401  (registers)
