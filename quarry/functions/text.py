@@ -23,11 +23,11 @@ WATERMARKS = ("PÚBLICA", "PÚBLICO", "CONFIDENCIAL")
 MARKER = r"\[SECTION:([^\]]+)\]"
 # Dots that don't end a sentence.
 ABBREVIATIONS = (
-    (r"(?iu)\b(S)\.(A)\.", "$1$2"),
-    (r"(?iu)\b(Cia)\.", "$1"),
-    (r"(?iu)\b(Dr|Dra|Sr|Sra|Prof|No|Art|Pag|Ref|p\.ex)\.", "$1"),
-    (r"\bR\$\s*(\d)", "R\\$ $1"),
-    (r"(\d+)\.(\d{3})", "$1$2"),
+    (r"(?iU)\b(S)\.(A)\.", "$1$2"),
+    (r"(?iU)\b(Cia)\.", "$1"),
+    (r"(?iU)\b(Dr|Dra|Sr|Sra|Prof|No|Art|Pag|Ref|p\.ex)\.", "$1"),
+    (r"(?U)\bR\$\s*(\d)", "R\\$ $1"),
+    (r"(?U)(\d+)\.(\d{3})", "$1$2"),
 )
 SENTENCE_END = r"(?<=[.!?])\s+(?=[A-ZÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕÇ\d])"
 _FLAGS = "(?iU)"
