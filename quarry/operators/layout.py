@@ -29,6 +29,11 @@ UNITS = ("mil", "milh", "bilh", "reais", "r$")
 HEADER_Y, TOP_Y, DATA_Y, SCALE_Y, RUNNING_Y, FOOT_Y, DEPTH = 90, 100, 125, (75, 115), 80, 750, 2
 
 
+def pinned(df: DataFrame, keep: list[str], **made: Column) -> DataFrame:
+    """df with computed columns that are worked out once, however often later filters and expressions name them."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
 def clean_blocks(raw: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Text blocks that aren't blank, nor short page numbers at the foot; the first pages only if so asked."""
     t = N.strip(F.col("text"))
@@ -40,7 +45,8 @@ def clean_blocks(raw: DataFrame, max_pages: int | None = None) -> DataFrame:
 def page_headers(blocks: DataFrame) -> DataFrame:
     """(doc_id, page, header, own_section): the first block at the top that names a section, else the first that is no tag."""
     t = N.strip(F.col("text"))
-    c = blocks.where((F.col("y0") < HEADER_Y) & (F.length(t) >= 4) & ~T.is_banner(F.col("text"))).withColumns({"t": t, "s": T.classify_section(t)})
+    c = blocks.where((F.col("y0") < HEADER_Y) & (F.length(t) >= 4) & ~T.is_banner(F.col("text")))
+    c = pinned(c, ["doc_id", "page", "block", "y0"], t=t, s=T.classify_section(t))
     known = F.col("s") != T.UNKNOWN
     w = Window.partitionBy("doc_id", "page").orderBy(F.desc(known.cast("int")), "y0", "block")
     best = c.where(known | ~F.col("t").isin(*T.TAGS)).withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
@@ -89,17 +95,16 @@ def page_rows(blocks: DataFrame) -> DataFrame:
     t = N.strip(F.col("text"))
     b = blocks.where((F.col("y0") > DATA_Y) & (t != "")).withColumns({"y": (F.bround(F.col("y0") / 3) * 3).cast("int"), "t": t})
     rows = b.groupBy("doc_id", "page", "y").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "block", "t"))), lambda x: x["t"]), "\n").alias("all"))
-    rows = rows.where(F.col("all").rlike(CODE_LINE)).withColumn("ps", F.transform(F.split("all", "\n"), N.strip))
+    rows = pinned(rows.where(F.col("all").rlike(CODE_LINE)), ["doc_id", "page", "y"], ps=F.transform(F.split("all", "\n"), N.strip))
     is_value = lambda p: p.rlike(VALUE) | (p.startswith("-") & F.substring(p, F.lit(2), F.length(p)).rlike(VALUE)) | (p.startswith("(") & p.endswith(")"))
-    rows = rows.withColumn("at", F.array_position(F.transform(F.slice("ps", F.lit(2), F.size("ps")), lambda p: is_value(p)), True))
+    rows = pinned(rows, ["doc_id", "page", "y", "ps"], at=F.array_position(F.transform(F.slice("ps", F.lit(2), F.size("ps")), lambda p: is_value(p)), True))
     stop = F.when(F.col("at") > 0, F.col("at").cast("int") + 1).otherwise(F.size("ps") + 1)
-    rows = rows.select(
-        "doc_id",
-        "page",
-        "y",
-        F.element_at("ps", 1).alias("code"),
-        N.strip(F.array_join(F.slice("ps", F.lit(2), stop - 2), " ")).alias("description"),
-        F.filter(F.slice("ps", stop, F.size("ps")), lambda p: p != "").alias("cells"),
+    rows = pinned(
+        rows,
+        ["doc_id", "page", "y"],
+        code=F.element_at("ps", 1),
+        description=N.strip(F.array_join(F.slice("ps", F.lit(2), stop - 2), " ")),
+        cells=F.filter(F.slice("ps", stop, F.size("ps")), lambda p: p != ""),
     )
     return rows.where((F.col("description") != "") & (F.size("cells") > 0))
 
@@ -120,10 +125,12 @@ def metric_rows(blocks: DataFrame, quarterly: Column) -> DataFrame:
     """
     statements = page_sections(blocks).where(F.col("section").isin(T.BALANCE, T.INCOME)).select("doc_id", "page")
     pages = statements.join(consolidated_pages(blocks), ["doc_id", "page"], "left_semi")
-    rows = page_rows(blocks).join(pages, ["doc_id", "page"], "left_semi").withColumn("metric_name", metric_of(F.col("description"), F.col("code"))).where(F.col("metric_name").isNotNull())
+    table = page_rows(blocks).join(pages, ["doc_id", "page"], "left_semi")
+    rows = pinned(table, table.columns, metric_name=metric_of(F.col("description"), F.col("code"))).where(F.col("metric_name").isNotNull())
     second = quarterly & F.col("metric_name").isin(*INCOME_METRICS) & (F.size("cells") >= 4)
     cell = F.when(second, F.try_element_at("cells", F.lit(2))).otherwise(F.element_at("cells", 1))
-    return rows.withColumn("raw", cell).withColumn("value", N.normalize_cell(F.col("raw")))
+    rows = pinned(rows, rows.columns, raw=cell)
+    return pinned(rows, rows.columns, value=N.normalize_cell(F.col("raw")))
 
 
 def extract_metrics(blocks: DataFrame, quarterly: Column) -> DataFrame:
