@@ -26,3 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable:
 from . import reports  # noqa: E402, F401  (registers)
 from . import corpus  # noqa: E402, F401
 from . import extraction  # noqa: E402, F401
+from . import search  # noqa: E402, F401
