@@ -197,12 +197,13 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     salts = F.ceil(F.col("n") / block).cast("int")
     dealt = members.select("k", F.when(F.col("n") > block, F.pmod(F.xxhash64("t", "k"), salts)).otherwise(F.lit(0)).cast("int").alias("salt"), "t")
     dealt = dealt.unionByName(centres.select("k", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("best.t").alias("t")))
-    wanted = members.select(F.col("t").alias("u")).distinct()
-    texts = base.select("t", "__text").join(wanted, F.col("t") == F.col("u"), "left_semi").groupBy("t").agg(F.first("__text").alias("__text"))
+    held = written(base.select("__id", "t").groupBy("t").agg(F.min("__id").alias("rep"), F.count("*").alias("n")), "texts")
+    # One row of each text: that with the smallest id, so that copies don't meet in a task. A merge join at every size, as the candidates grow with the input.
+    wanted = held.join(members.select("t").distinct(), "t", "left_semi").select(F.col("t").alias("u"), "rep")
+    texts = base.join(wanted.hint("merge"), (F.col("t") == F.col("u")) & F.col("__id").eqNullSafe(F.col("rep"))).groupBy("t").agg(F.first("__text").alias("__text"))
     sets = written(texts.mapInArrow(_sets, "t long, s binary"), "sets")
     links = spread_join(dealt, sets, ["t"]).groupBy("k", "salt").applyInArrow(_link(similarity), "a long, b long")
     labels = components(links).withColumnsRenamed({"a": "t", "b": "root"})
-    held = base.select("__id", "t").groupBy("t").agg(F.min("__id").alias("rep"), F.count("*").alias("n"))
     held = written(held.join(labels, "t", "left").select("t", "rep", "n", F.coalesce("root", "t").alias("root")), "held")
     classes = held.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
     of = written(spread_join(held.select("t", "root"), classes, ["root"]).select("t", "class_id", "class_size"), "classes")
