@@ -40,7 +40,7 @@ def current(spark: SparkSession, target: str) -> DataFrame:
 
 def tumbling(events: DataFrame, width: str, late: str | None = None) -> DataFrame:
     """Counts and sums by window and type; with late, a watermark bounds the state of a stream."""
-    e = events if late is None else events.withWatermark("ts", late)
+    e = events if late is None else events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     g = e.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return g.select(F.col("w.start").alias("start"), F.col("w.end").alias("stop"), "event_type", "n", "total")
 
