@@ -21,6 +21,8 @@ BANNER = r"(ITR|DFP|DFI|FRE|DFPF|PISP)\s*[-–]\s*"
 TAGS = ("#interna", "#confidencial", "#publico")
 WATERMARKS = ("PÚBLICA", "PÚBLICO", "CONFIDENCIAL")
 MARKER = r"\[SECTION:([^\]]+)\]"
+# Fixed value: white space as Unicode and Python have it (a class is faster than the flag for Unicode classes).
+SPACES = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 # Dots that don't end a sentence.
 ABBREVIATIONS = (
     (r"(?iU)\b(S)\.(A)\.", "$1$2"),
@@ -60,7 +62,7 @@ def is_banner(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Pieces between white space, as Unicode has it."""
-    return F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(c, SPACES), lambda w: w != "")
 
 
 def tokens(c: Column) -> Column:
