@@ -49,7 +49,7 @@ def test_folding_and_tokens(spark):
     assert column(spark, ["Último ação", None], T.fold) == ["ULTIMO ACAO", None]
     assert column(spark, ["", "a b c d e f g h i j", "a b"], T.token_estimate) == [1, 13, 2]
     assert column(spark, ["Uma frase. Outra aqui! Mais? sim"], T.sentences) == [["Uma frase.", "Outra aqui!", "Mais? sim"]]
-    assert column(spark, ["A Petrobras S.A. Divulgou 1.234 hoje. Fim"], T.sentences) == [["A Petrobras S.A. Divulgou 1.234 hoje.", "Fim"]]
+    assert column(spark, ["A Empresa S.A. Divulgou 1.234 hoje. Fim"], T.sentences) == [["A Empresa S.A. Divulgou 1.234 hoje.", "Fim"]]
     assert column(spark, ["um\n\n12\n\nPÚBLICA\n\n[SECTION:DRE]dois\r\n\r\n\r\ntrês"], T.paragraphs) == [["um", "dois", "três"]]
 
 
