@@ -27,3 +27,4 @@ from . import reports  # noqa: E402, F401  (registers)
 from . import corpus  # noqa: E402, F401
 from . import extraction  # noqa: E402, F401
 from . import search  # noqa: E402, F401
+from . import batch  # noqa: E402, F401
