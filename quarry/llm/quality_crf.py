@@ -244,11 +244,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(parsed)
 
 
-def _score(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _score(model, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
         for batch in batches:
-            for lo, hi, data, off in text_slices(batch.column(0)):
+            for lo, hi, data, off in text_slices(batch.column(at)):
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(m.score(data, off), pa.float64())], names=[*batch.schema.names, "__score"])
 
@@ -258,9 +258,9 @@ def _score(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns named by keep (all by default), and __score."""
     keep = list(keep if keep is not None else docs.columns)
-    kinds = [docs.schema[c].dataType.simpleString() for c in keep]
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    plain = docs.select(F.col(text_col).alias("__text"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(keep)])
-    schema = ", ".join(["__text string", *[f"__c{i} {k}" for i, k in enumerate(kinds)], "__score double"])
-    out = plain.mapInArrow(_score(sent), schema)
+    cols = keep if text_col in keep else [*keep, text_col]  # the text crosses over once
+    plain = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(cols)])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
+    out = plain.mapInArrow(_score(sent, cols.index(text_col)), f"{kinds}, __score double")
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], "__score")
