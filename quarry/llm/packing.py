@@ -17,6 +17,7 @@ each; a null id is carried; an empty table gives no rows; extra columns are igno
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,10 +33,36 @@ LENGTH = 4096
 #: Documents of a group, on average.
 GROUP_DOCS = 2048
 #: Distinct words that a worker keeps.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 _PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+# The steps before the model of the tokenizer that words of Latin letters, and runs of punctuation, may go past.
+STEPS = ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
+_BYTES = {b: chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174 else None for b in range(256)}
+for _b in (b for b in range(256) if _BYTES[b] is None):
+    _BYTES[_b] = chr(256 + sum(1 for x in range(_b) if not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174)))
+
+
+def _steps(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    out = []
+    for part, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")):
+        out += [x["type"] for x in (spec.get(part) or {}).get(inner, [])]
+    return out
+
+
+def _plain(word: str) -> str | None:
+    """A word as the model gets it, if it surely is one piece: Latin letters only, or ASCII punctuation only."""
+    if word.isascii():
+        return word.lower() if word.isalpha() or word and not word.strip(_PUNCT) else None
+    if not word.isalpha() or max(word) >= "\u0250":
+        return None
+    low = "".join(c.lower() for c in word)
+    return "".join(_BYTES[b] for b in low.encode()) if low.isalpha() and max(low) < "\u0250" else None
+
+
 class WordTokenizer:
     """ids of texts by the tokenizer in a file, word by word."""
 
@@ -43,6 +70,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.direct = _steps(path) == STEPS
         self.clear()
 
     def clear(self) -> None:
@@ -71,8 +100,11 @@ class WordTokenizer:
             b = w.rstrip(_PUNCT)
             split.append((b, w[len(b) :]) if b and b != w and b[-1].isalpha() and "<|" not in w else (w, ""))
         new = [x for x in dict.fromkeys(x for pair in split for x in pair) if x not in self.known]
-        ids = {x: e.ids for x, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True)}
-        self.add(new, list(ids.values()))
+        plain = {x: p for x in new if (p := _plain(x)) is not None} if self.direct else {}
+        rest = [x for x in new if x not in plain]
+        ids = {x: [t.id for t in self.model.tokenize(p)] for x, p in plain.items()}
+        ids |= {x: e.ids for x, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True)}
+        self.add(list(ids), list(ids.values()))
         whole = [(w, b, t) for w, (b, t) in zip(words, split, strict=True) if t]
         self.add([w for w, _, _ in whole], [[*self.ids(b), *self.ids(t)] for _, b, t in whole])
 
@@ -115,8 +147,9 @@ def tokenizer(path: str) -> WordTokenizer:
 def _pieces(path: str, end_id: int, length: int, keep: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last = tokenizer(path), np.uint32(end_id)
+        words.clear()  # what a former task has left, so that a worker's memory doesn't follow the tasks it has run
         for batch in batches:
-            for lo, hi, data, ends in text_slices(batch.column(1), 3 * SLICE_BYTES):
+            for lo, hi, data, ends in text_slices(batch.column(1), 2 * SLICE_BYTES):
                 ids, off = words.encode(data, ends)
                 row, start, size, crc, total = [], [], [], [], []
                 ends = off.tolist()
