@@ -10,13 +10,15 @@ Copies of a text share one signature, so they are one candidate. Buckets with th
 are taken once. A bucket of up to `block` texts is compared within one task, all against all on
 sets of shingle hashes (without emitting pairs: only links that join two parts of it leave). A
 larger bucket is dealt into blocks of that size, anew in each band, and its most central texts
-(those that share most buckets) join every block, so that work stays linear in the bucket.
+(those that share most buckets) join every block. That finds most classes in linear time; what it
+leaves out is found exactly: two similar sets share one of their rarest shingles (prefix filter), so
+texts of larger buckets are grouped by these, groups within one class are dropped, and the rest are
+compared all against all, large groups as tasks of two blocks each.
 Links are closed to classes by alternating large-star and small-star steps on written tables.
 
 Similarity for verification is the Jaccard index of the sets of shingles (32-bit hashes), 0.8 or
-more. Bands are set for a recall above 0.9999 at that similarity. In buckets larger than a block
-a link between two texts neither of which is similar to a central text is found only if they meet
-in a block of one of the bands.
+more. Bands are set for a recall above 0.9999 at that similarity, and each pair of a bucket, however
+large, that is similar enough ends in one class.
 
 Defined results: null and empty texts have no shingles and form one class as copies of each other;
 null ids are carried and never name a class unless no member has an id (then it is null); repeated
@@ -35,6 +37,8 @@ from pyspark.sql import functions as F
 from .shared import byte_class, mix, rolling, runs_hashes, span_hashes, spread_join, text_slices, word_bounds, written
 
 SHINGLE, BANDS, ROWS, BLOCK, CENTRES = 5, 25, 5, 256, 4
+#: Cells of the table of shingle counts by which rare ones are told (any order of shingles gives the same links).
+CELLS = 1 << 18
 _WORD = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -165,6 +169,50 @@ def _link(similarity: float) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, dtype=np.int64)
+    for batch in batches:
+        s = np.frombuffer(b"".join(batch.column("s").to_pylist()), dtype=np.uint32)
+        counts += np.bincount(s % CELLS, minlength=CELLS)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "c"])
+
+
+def _rarest(counts: np.ndarray, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The shingles of each set of which two similar sets share one: all but the share they must have in common, and one more, rarest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for raw in batch.column("s").to_pylist():
+                s = np.frombuffer(raw, dtype=np.uint32)
+                found.append(s[np.lexsort((s, counts[s % CELLS]))][: len(s) - int(np.ceil(similarity * len(s) - 1e-6)) + 1])
+            each = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            k = np.concatenate(found).astype(np.int64) if found else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(k), batch.column("t").take(pa.array(each)), batch.column("root").take(pa.array(each))], names=["k", "t", "root"])
+
+    return run
+
+
+def _missed(wide: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Links between texts of wide that labels (t, root) hold apart, each similar pair linked or joined by others."""
+    held = spread_join(sets, wide.select("t").distinct(), ["t"])
+    held = written(spread_join(held, labels, ["t"], "left").select("t", "s", F.coalesce("root", "t").alias("root")), "wide")
+    counts = np.zeros(CELLS, dtype=np.int64)
+    for r in held.select("s").mapInArrow(_cells, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toLocalIterator():
+        counts[r["cell"]] = r["c"]
+    rare = written(held.select("t", "root", "s").mapInArrow(_rarest(counts, similarity), "k long, t long, root long"), "rarest")
+    groups = rare.groupBy("k").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("t")).alias("x"), F.min("t").alias("u"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    groups = groups.groupBy("n", "x", "u").agg(F.min("k").alias("k")).select("k", "n")
+    size = 4 * block
+    blocks = F.ceil(F.col("n") / size).cast("int")
+    dealt = spread_join(rare.select("k", "t"), groups, ["k"]).select("k", "t", blocks.alias("of"), F.pmod(F.xxhash64("t", "k"), blocks).cast("int").alias("i"))
+    others = F.when(F.col("of") > 1, F.filter(F.sequence(F.lit(0), F.col("of") - 1), lambda j: j != F.col("i"))).otherwise(F.array(F.lit(0)))
+    dealt = dealt.select("k", "t", "of", "i", F.explode(others).alias("j"))
+    dealt = dealt.select("k", (F.least("i", "j").cast("long") * F.col("of") + F.greatest("i", "j")).alias("salt"), "t")
+    return spread_join(dealt, sets, ["t"]).groupBy("k", "salt").applyInArrow(_link(similarity), "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): each node that isn't its part's smallest, and that smallest; edges: (a, b) with b smaller."""
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -204,6 +252,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     sets = written(texts.mapInArrow(_sets, "t long, s binary"), "sets")
     links = spread_join(dealt, sets, ["t"]).groupBy("k", "salt").applyInArrow(_link(similarity), "a long, b long")
     labels = components(links).withColumnsRenamed({"a": "t", "b": "root"})
+    if not wide.isEmpty():
+        more = _missed(wide, sets, labels, similarity, block)
+        labels = components(labels.select(F.col("t").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnsRenamed({"a": "t", "b": "root"})
     held = written(held.join(labels, "t", "left").select("t", "rep", "n", F.coalesce("root", "t").alias("root")), "held")
     classes = held.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
     of = written(spread_join(held.select("t", "root"), classes, ["root"]).select("t", "class_id", "class_size"), "classes")
