@@ -4,7 +4,9 @@ Shingles are runs of five words (a shorter text is one shingle), weighted by how
 has them. Each shingle is a Poisson process of arrivals with its weight as rate and a random
 component for each arrival; a component keeps the shingle that arrives first. A shingle stops as
 soon as its next arrival is later than the latest first arrival of all components. Equal components
-estimate the probability Jaccard similarity; bands of components make buckets.
+estimate the probability Jaccard similarity; bands of components make buckets. A text that repeats
+shingles is banded twice, with its weights and with weights of one: the latter estimate the Jaccard
+similarity of the sets, by which links are verified.
 
 Copies of a text share one signature, so they are one candidate. Buckets with the same members
 are taken once. A bucket of up to `block` texts is compared within one task, all against all on
@@ -99,11 +101,19 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, off in text_slices(batch.column(1)):
             doc, h, w = shingles(data, off)
-            keys = band_keys(prob_minhash(doc, h, w, hi - lo, BANDS * ROWS))
-            some = np.zeros(hi - lo, dtype=bool)
+            n = hi - lo
+            keys = band_keys(prob_minhash(doc, h, np.ones(len(w)), n, BANDS * ROWS)).view(np.int64)
+            some, again = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
             some[doc] = True
-            offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel().view(np.int64)))
+            again[doc[w > 1]] = True  # for others the signature with weights is the same
+            of = again[doc]
+            number = np.cumsum(again) - 1
+            weighted = band_keys(prob_minhash(number[doc[of]], h[of], w[of], int(again.sum()), BANDS * ROWS)).view(np.int64) if of.any() else keys[:0]
+            more = (weighted != keys[again]).ravel()
+            owner = np.concatenate([np.repeat(np.flatnonzero(some), BANDS), np.repeat(np.flatnonzero(again), BANDS)[more]])
+            flat = np.concatenate([keys[some].ravel(), weighted.ravel()[more]])[np.argsort(owner, kind="stable")]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["t", "keys"])
 
 

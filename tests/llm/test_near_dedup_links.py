@@ -18,3 +18,14 @@ def test_links_in_large_buckets(spark):
     want = classes_by_force(pairs(df))
     assert sum(n == 2 for _, _, n in want) == 80
     assert by_row(near_dedup.near_duplicate_classes(df, block=16), "doc_id", "class_id", "class_size") == want
+
+
+def test_repeated_passages_keep_links(spark):
+    """Equal sets of shingles but for a passage that one text repeats: the counts differ, the similarity doesn't."""
+    rows = []
+    for k in range(20):
+        text = " ".join(f"k{k}w{i}" for i in range(104))
+        rows += [(2 * k, text), (2 * k + 1, text + " " + " ".join([f"k{k}r{i}" for i in range(10)] * 30))]
+    out = near_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_row(out, "doc_id", "class_id", "class_size") == classes_by_force(rows)
+    assert all(r.class_size == 2 for r in out.collect())
