@@ -133,6 +133,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
     back = media.read_back(media.store(docs, ["doc_id", "n_bytes"]), ["doc_id", "n_bytes"])
+    failed = F.raise_error(F.concat(F.lit("media can't be read back: "), "error")).cast("binary")
+    back = back.withColumn("pixels", F.when(F.col("error").isNull(), F.col("pixels")).otherwise(failed))
     return back.select(
         "doc_id",
         "n_bytes",

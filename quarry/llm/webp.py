@@ -30,6 +30,8 @@ NEAR = (
 PREDICTOR, CROSS_COLOR, SUBTRACT_GREEN, PALETTE = range(4)
 LITERALS, LENGTHS, DISTANCES = 256, 24, 40
 CACHE_FACTOR = 0x1E35A7BD
+#: The longest distance that the distance codes reach; those of NEAR come first.
+FARTHEST = (1 << DISTANCES // 2) - len(NEAR)
 _REVERSED: dict[int, np.ndarray] = {}
 
 
@@ -609,7 +611,9 @@ def repeats(px: np.ndarray, most: int = 4096) -> list[tuple[int, int, int]]:
     order = np.argsort(key[some], kind="stable")
     same = key[some[order[1:]]] == key[some[order[:-1]]]
     found, free = [], 0
-    pairs = np.sort(some[order[1:]][same] * n + some[order[:-1]][same])
+    p, q = some[order[1:]][same], some[order[:-1]][same]
+    near = p - q <= FARTHEST
+    pairs = np.sort(p[near] * n + q[near])
     for p, q in zip((pairs // n).tolist(), (pairs % n).tolist(), strict=True):
         if p < free:
             continue
