@@ -190,6 +190,47 @@ def _clean(items: list[tuple[str | None, str | None]], width: int, drop_share: f
     return run
 
 
+def _cut(drop_share: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(id, text without its hits); the text is null where drop_share of its words or more are hit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, n, starts, ends in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                keep = covered(np.array(starts), np.array(ends), n).sum() < drop_share * n
+                out.append(remove_spans(text, starts, ends) if keep else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["__id", "__text"])
+
+    return run
+
+
+def _clean_in_blocks(packed: DataFrame, bench: DataFrame, blocks: int, width: int, drop_share: float) -> DataFrame:
+    """As _clean does: in each round the hits of all blocks are found on the same text before it is judged and cut."""
+    split = written(bench.withColumn("b", F.pmod(F.xxhash64("text", "item"), F.lit(blocks))), "bench")
+    base = written(packed.withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    left, changed, turn = base.select("__id", "__text"), None, 0
+    while True:
+        hits = None
+        for b in range(blocks):
+            items = [(r["item"], r["text"]) for r in split.where(F.col("b") == b).toLocalIterator()]
+            p = left.mapInArrow(_scan(items, width), OUT.format(id="long")).where(F.size("hit_starts") > 0)
+            p = written(p.select("__id", "n_words", "hit_starts", "hit_ends"), f"hits{b}")
+            hits = p if hits is None else hits.unionByName(p)
+        if hits.isEmpty():
+            break
+        hits = hits.groupBy("__id", "n_words").agg(F.collect_list(F.struct("hit_starts", "hit_ends")).alias("h"))
+        hits = hits.select("__id", "n_words", F.flatten("h.hit_starts").alias("a"), F.flatten("h.hit_ends").alias("b"))
+        cut = left.join(hits, "__id").select("__id", "__text", "n_words", "a", "b").mapInArrow(_cut(drop_share), "__id long, __text string")
+        cut = written(cut.withColumn("turn", F.lit(turn)), "cut")
+        changed = cut if changed is None else changed.unionByName(cut)
+        left, turn = cut.where(F.col("__text").isNotNull()).select("__id", "__text"), turn + 1  # what is left may hold a window again
+    if changed is None:
+        return base.select("__text", "__row")
+    last = changed.groupBy("__id").agg(F.max(F.struct("turn", F.col("__text").alias("t"))).alias("last"))
+    done = base.join(last, "__id", "left").where("last IS NULL OR last.t IS NOT NULL")
+    return done.select(F.coalesce("last.t", "__text").alias("__text"), "__row")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", width: int = 10, drop_share: float = 0.5, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """docs without hit words; documents of which drop_share of the words or more are hit go. The columns stay."""
     bench = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
@@ -197,8 +238,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     blocks = max(1, -(-int(sizes) // (2 * max_windows)))
     row = F.struct(*[F.col(c) for c in docs.columns])
     packed = docs.select(F.col(text_col).alias("__text"), row.alias("__row"))
-    for b in range(blocks):
-        part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b)
-        items = [(r["item"], r["text"]) for r in part.toLocalIterator()]
+    if blocks == 1:
+        items = [(r["item"], r["text"]) for r in bench.toLocalIterator()]
         packed = packed.mapInArrow(_clean(items, width, drop_share), packed.schema)
+    else:
+        packed = _clean_in_blocks(packed, bench, blocks, width, drop_share)
     return packed.select(*[F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns])
