@@ -1,98 +1,88 @@
-"""Chunks of prose sections: a fold over paragraphs, with one sentence of overlap.
+"""Chunks of prose sections, cut by cumulative token counts, with one sentence of overlap.
 
-Paragraphs, sentences and token counts are native expressions; the fold, which carries pending
-pieces and their overlap from paragraph to paragraph, runs per document in Arrow batches.
+A section is a list of units: a paragraph that fits the limit is one, a longer one gives a unit for
+each of its sentences. With the running sums of tokens, the end of a chunk is a binary search: the
+last unit up to which the sum stays within the limit, one unit at least. A chunk that is full hands
+its last sentence to the next. A long paragraph closes the chunk before it and takes over the
+sentence that was handed on last (or the end of the long paragraph before, if that came later).
+
+Paragraphs, sentences and token counts are native expressions; the searches run per document in
+Arrow batches.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 
+from .sampling import draw
+
 MAX_TOKENS, MIN_TOKENS = 384, 50
 
 
-class Fold:
-    """The chunks of one section: pieces that wait to be joined, their tokens, and the sentence that overlaps."""
-
-    def __init__(self, limit: int, least: int):
-        self.limit, self.least, self.out = limit, least, []
-        self.waiting: list[tuple[str, int, str]] = []  # text, tokens, last sentence
-        self.total, self.overlap = 0, None
-
-    def emit(self, pieces: list[tuple[str, int, str]]) -> None:
-        text = " ".join(p[0] for p in pieces).strip()
-        n = max(1, int(len(text.split()) * 1.33))
-        if n >= self.least:
-            self.out.append((text, n))
-
-    def paragraph(self, text: str, tokens: int, sentences: list[tuple[str, int]]) -> None:
-        last = (sentences[-1][0], sentences[-1][1], sentences[-1][0])
-        if tokens > self.limit:
-            if self.waiting:
-                self.emit(self.waiting)
-                self.waiting, self.total = [], 0
-            buffer = [self.overlap] if self.overlap else []
-            total = sum(p[1] for p in buffer)
-            for s, n in sentences:
-                if buffer and total + n > self.limit:
-                    self.emit(buffer)
-                    buffer = buffer[-1:]
-                    total = buffer[0][1]
-                buffer.append((s, n, s))
-                total += n
-            self.waiting, self.total, self.overlap = buffer, total, buffer[-1]
-        elif self.total + tokens > self.limit:
-            self.emit(self.waiting)
-            if self.waiting:
-                s = self.waiting[-1][2]
-                self.overlap = (s, max(1, int(len(s.split()) * 1.33)), s)
-                self.waiting = [self.overlap]
-            else:
-                self.overlap = None
-            self.waiting = [*self.waiting, (text, tokens, last[0])]
-            self.total = sum(p[1] for p in self.waiting)
-        else:
-            self.waiting.append((text, tokens, last[0]))
-            self.total += tokens
-
-    def done(self) -> list[tuple[str, int]]:
-        if self.waiting:
-            self.emit(self.waiting)
-        return self.out
-
-
-def _folded(limit: int, least: int):
+def spans(tokens: list[int], tails: list[int], runs: list[int], limit: int) -> Iterator[tuple[int, int, int]]:
+    """(unit whose last sentence leads, or -1; first unit; end) of each chunk.
+
+    tails: tokens of the last sentence of each unit; runs: at the first sentence of a long
+    paragraph the number of its sentences, else 0.
+    """
+    sums = [0, *accumulate(tokens)]
+    edges = sorted({0, len(tokens), *(i for i, r in enumerate(runs) if r)})
+    handed = -1
+    for start, end in pairwise(edges):
+        lead = handed if runs[start] else -1
+        if runs[start]:
+            handed = start + runs[start] - 1
+            if lead >= 0 and tails[lead] + tokens[start] > limit:
+                yield lead, start, start
+        while start < end:
+            room = limit + sums[start] - (tails[lead] if lead >= 0 else 0)
+            stop = max(start + 1, bisect_right(sums, room, start, end + 1) - 1)
+            yield lead, start, stop
+            if stop < end:
+                lead = stop - 1
+                handed = max(handed, lead)
+            start = stop
+
+
+def _chunks(limit: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows = []
             for doc, sections in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 index = 0
                 for s in sections:
-                    fold = Fold(limit, least)
-                    for p in s["paragraphs"]:
-                        fold.paragraph(p["text"], p["tokens"], [(x["text"], x["tokens"]) for x in p["sentences"]])
-                    for text, n in fold.done():
-                        for col, v in zip(rows, (doc, s["section"], text, n, index), strict=True):
-                            col.append(v)
-                        index += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32()), strict=True)], names=["filing_id", "section", "text", "token_count", "chunk_index"])
+                    units = s["units"]
+                    for lead, start, stop in spans([u["tokens"] for u in units], [u["tail_tokens"] for u in units], [u["run"] for u in units], limit):
+                        text = " ".join(([units[lead]["tail"]] if lead >= 0 else []) + [u["text"] for u in units[start:stop]]).strip()
+                        n = max(1, int(len(text.split()) * 1.33))
+                        if n >= least:
+                            rows.append({"filing_id": doc, "section": s["section"], "text": text, "token_count": n, "chunk_index": index})
+                            index += 1
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("filing_id", pa.string()), ("section", pa.string()), ("text", pa.string()), ("token_count", pa.int32()), ("chunk_index", pa.int32())]))
 
     return run
 
 
+def units(text: Column, limit: int) -> Column:
+    """The units of a section: text, tokens, tail (its last sentence), tail_tokens, run."""
+    unit = lambda t, tail, run: F.struct(t.alias("text"), T.token_estimate(t).alias("tokens"), tail.alias("tail"), T.token_estimate(tail).alias("tail_tokens"), run.cast("int").alias("run"))
+    sentences = lambda p: F.transform(T.sentences(p), lambda s, i: unit(s, s, F.when(i == 0, F.size(T.sentences(p))).otherwise(0)))
+    return F.flatten(F.transform(T.paragraphs(text), lambda p: F.when(T.token_estimate(p) > limit, sentences(p)).otherwise(F.array(unit(p, F.element_at(T.sentences(p), -1), F.lit(0))))))
+
+
 def chunk_sections(sections: DataFrame, limit: int = MAX_TOKENS, least: int = MIN_TOKENS) -> DataFrame:
     """(filing_id, section, text, token_count, chunk_index, chunk_id) from sections (filing_id, ord, section, text); only prose is chunked."""
-    counted = lambda s: F.struct(s.alias("text"), T.token_estimate(s).alias("tokens"))
-    paragraphs = F.transform(T.paragraphs(F.col("text")), lambda p: F.struct(p.alias("text"), T.token_estimate(p).alias("tokens"), F.transform(T.sentences(p), counted).alias("sentences")))
-    prose = sections.where(F.col("section").isin(*T.PROSE)).select("filing_id", F.struct("ord", "section", paragraphs.alias("paragraphs")).alias("s"))
+    prose = sections.where(F.col("section").isin(*T.PROSE)).select("filing_id", F.struct("ord", "section", units(F.col("text"), limit).alias("units")).alias("s"))
     docs = prose.groupBy("filing_id").agg(F.array_sort(F.collect_list("s")).alias("ss"))
-    out = docs.mapInArrow(_folded(limit, least), "filing_id string, section string, text string, token_count int, chunk_index int")
+    out = docs.mapInArrow(_chunks(limit, least), "filing_id string, section string, text string, token_count int, chunk_index int")
     return out.withColumn("chunk_id", T.chunk_key(F.col("filing_id"), F.col("chunk_index")))
 
 
@@ -107,14 +97,14 @@ def neighbours(chunks: DataFrame, group: list[str], order: list[str], key: str)
     return chunks.select(*group, key, F.lag(key).over(w).alias("before"), F.lead(key).over(w).alias("after"))
 
 
-def training_pairs(chunks: DataFrame, group: list[str], order: list[str], text: str, share: float = 0.3, least: int = 4) -> DataFrame:
-    """Pairs of adjacent texts, and for a hashed share of the texts of groups of at least so many one further on."""
+def training_pairs(chunks: DataFrame, group: list[str], order: list[str], text: str, number: Column, share: float = 0.3, least: int = 4) -> DataFrame:
+    """Pairs of adjacent texts, and for a drawn share of the texts of groups of at least so many one further on; number: an integer that names a group."""
     w = Window.partitionBy(*group).orderBy(*order)
     c = chunks.withColumns({"i": F.row_number().over(w) - 1, "n": F.count("*").over(Window.partitionBy(*group)), "second": F.lead(text).over(w)})
     near = c.where(F.col("second").isNotNull()).select(*group, F.col(text).alias("first"), "second", F.lit("adjacent").alias("kind"))
-    draw = F.pmod(F.xxhash64(*group, "i"), F.lit(1000)) / 1000.0
+    seed = number * 1009 + F.col("i")
     room = F.col("n") - F.col("i") - 2
-    pick = c.where((F.col("n") >= least) & (room > 0) & (draw < share)).withColumn("j", F.col("i") + 2 + F.pmod(F.xxhash64(F.lit(7), *group, "i"), room))
+    pick = c.where((F.col("n") >= least) & (room > 0) & (draw(seed) % 1000 < int(share * 1000))).withColumn("j", F.col("i") + 2 + draw(seed, 7) % room)
     other = c.select(*[F.col(g).alias(f"o_{g}") for g in group], F.col("i").alias("o_i"), F.col(text).alias("o_text"))
     on = F.col("j") == F.col("o_i")
     for g in group:

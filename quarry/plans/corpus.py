@@ -136,12 +136,39 @@ def headed_sections(spark, sf_dir):
     return X.detect(c.select(F.col("c_custkey").alias("doc_id"), F.concat(F.lit("Nota Explicativa de "), "c_name", F.lit(" e o Balanço Patrimonial "), "c_mktsegment").alias("full_text")))
 
 
-@query("prose_chunks")
+_TOK = r"greatest(1, trunc(len(list_filter(string_split_regex({x}, '\s+'), lambda w: w <> '')) * 1.33::DOUBLE))::INT"
+_SENTENCES = f"list_filter(list_transform(string_split(regexp_replace(regexp_replace(x, '(?i){_ABBR}', '\\1\\2' || chr(2), 'g'), '([.!?])\\s+([A-ZÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕÇ0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda y: regexp_replace(replace(y, chr(2), '.'), '^\\s+|\\s+$', '', 'g')), lambda y: y <> '')"
+#: Chunks one after the other: (lead, first, stop) by list positions from 1; sums[i] are the tokens before unit i.
+CHUNKS_SQL = f"""
+WITH RECURSIVE para AS (SELECT doc_id, unnest(ps) AS x, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '' AND NOT (length(x) < 20 AND regexp_full_match(x, '\\d+'))) AS ps FROM documents)),
+cut AS (SELECT doc_id, i, x, {_TOK.format(x="x")} AS n, CASE WHEN len({_SENTENCES}) > 0 THEN {_SENTENCES} ELSE [x] END AS ss FROM para),
+unit AS (SELECT doc_id, i, unnest(range(1, CASE WHEN n > 384 THEN len(ss) + 1 ELSE 2 END)) AS j, n > 384 AS long, x, ss FROM cut),
+named AS (SELECT doc_id, i, j, CASE WHEN long THEN ss[j] ELSE x END AS t, CASE WHEN long THEN ss[j] ELSE ss[len(ss)] END AS tail, CASE WHEN long AND j = 1 THEN len(ss) ELSE 0 END AS run FROM unit),
+counted AS (SELECT *, {_TOK.format(x="t")} AS n, {_TOK.format(x="tail")} AS m FROM named),
+doc AS (SELECT doc_id, list(t ORDER BY i, j) AS t, list(tail ORDER BY i, j) AS tail, list(m ORDER BY i, j) AS m, list(run ORDER BY i, j) AS run, list(n ORDER BY i, j) AS n, count(*)::INT AS size FROM counted GROUP BY doc_id),
+d AS (SELECT *, list_transform(range(1, size + 2), lambda k: coalesce(list_sum(list_slice(n, 1, (k - 1)::INT)), 0)::INT) AS sums, list_transform(range(1, size + 1), lambda k: coalesce(list_min(list_filter(range(k + 1, size + 1), lambda e: run[e] > 0)), size + 1)::INT) AS edge FROM doc),
+step AS (
+  SELECT doc_id, 0 AS turn, 0 AS lead, 1 AS first, 1 AS stop, 0 AS handed, false AS opened FROM d
+  UNION ALL
+  SELECT doc_id, turn + 1, lead2, stop, CASE WHEN alone THEN stop ELSE greatest(stop + 1, stop + len(list_filter(list_slice(sums, stop + 1, edge[stop]), lambda c: c <= 384 + sums[stop] - coalesce(m[lead2], 0)))) END::INT,
+         greatest(handed2, lead2)::INT, alone
+  FROM (SELECT *, NOT opened AND run[stop] > 0 AND lead2 > 0 AND m[lead2] + n[stop] > 384 AS alone FROM (
+    SELECT step.*, d.* EXCLUDE (doc_id), CASE WHEN opened THEN lead WHEN run[stop] > 0 THEN handed WHEN turn = 0 THEN 0 ELSE stop - 1 END AS lead2,
+           CASE WHEN run[stop] > 0 THEN stop + run[stop] - 1 ELSE handed END AS handed2
+    FROM step JOIN d USING (doc_id) WHERE stop <= size))
+),
+made AS (SELECT doc_id, turn, regexp_replace(array_to_string(list_concat(CASE WHEN lead > 0 THEN [tail[lead]] ELSE []::VARCHAR[] END, list_slice(t, first, stop - 1)), ' '), '^\\s+|\\s+$', '', 'g') AS text FROM step JOIN d USING (doc_id) WHERE turn > 0),
+kept AS (SELECT doc_id, text, {_TOK.format(x="text")} AS token_count, row_number() OVER (PARTITION BY doc_id ORDER BY turn) - 1 AS chunk_index FROM made WHERE {_TOK.format(x="text")} >= 50)
+SELECT doc_id::VARCHAR AS filing_id, 'Notas Explicativas' AS section, md5(text) AS text, token_count, chunk_index::INT AS chunk_index, doc_id || '_' || lpad(chunk_index::VARCHAR, greatest(4, length(chunk_index::VARCHAR))::INT, '0') AS chunk_id FROM kept
+"""
+
+
+@query("prose_chunks", CHUNKS_SQL)
 def prose_chunks(spark, sf_dir):
-    """No oracle: a fold that carries state; tests hold it against a plain version."""
     d = S.table(spark, sf_dir, "documents")
     text = F.replace("text", F.lit("\n"), F.lit("\n\n"))
-    return C.chunk_sections(d.select(F.col("doc_id").cast("string").alias("filing_id"), F.lit(0).alias("ord"), F.lit(T.NOTES).alias("section"), text.alias("text")))
+    c = C.chunk_sections(d.select(F.col("doc_id").cast("string").alias("filing_id"), F.lit(0).alias("ord"), F.lit(T.NOTES).alias("section"), text.alias("text")))
+    return c.withColumn("text", F.md5("text"))
 
 
 @query("chunk_neighbours", S.with_relations("SELECT doc_id, chunk_id, lag(chunk_id) OVER w AS before, lead(chunk_id) OVER w AS after FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY pos)", "chunks"))
@@ -154,19 +181,23 @@ def chunk_numbers(spark, sf_dir):
     return C.numbered(S.chunks(spark, sf_dir), "doc_id", ["pos"]).select("chunk_id", "chunk_index")
 
 
-@query("adjacent_pairs", S.with_relations("SELECT doc_id, section_name, md5(chunk_text) AS first, md5(nxt) AS second FROM (SELECT *, lead(chunk_text) OVER (PARTITION BY doc_id, section_name ORDER BY pos) AS nxt FROM chunks) WHERE nxt IS NOT NULL", "chunks"))
-def adjacent_pairs(spark, sf_dir):
-    p = C.training_pairs(S.chunks(spark, sf_dir), ["doc_id", "section_name"], ["pos"], "chunk_text").where("kind = 'adjacent'")
-    return p.select("doc_id", "section_name", F.md5("first").alias("first"), F.md5("second").alias("second"))
+_DRAW = "((k + 42) % 1000003 * 48271 + 42) % 2147483647"
 
 
-@query("training_pairs")
+@query("training_pairs", S.with_relations("""
+WITH c AS (SELECT doc_id, section_name, chunk_text, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY doc_id, section_name) AS n, lead(chunk_text) OVER w AS nxt, (doc_id * 31 + length(section_name)) * 1009 + row_number() OVER w - 1 AS seed FROM chunks WINDOW w AS (PARTITION BY doc_id, section_name ORDER BY pos)),
+p AS (SELECT *, i + 2 + ((seed + 7) % 1000003 * 48271 + 7) % 2147483647 % (n - i - 2) AS j FROM c WHERE n >= 4 AND n - i - 2 > 0 AND ((seed + 42) % 1000003 * 48271 + 42) % 2147483647 % 1000 < 300)
+SELECT doc_id, section_name, md5(chunk_text) AS first, md5(nxt) AS second, 'adjacent' AS kind FROM c WHERE nxt IS NOT NULL
+UNION ALL SELECT p.doc_id, p.section_name, md5(p.chunk_text), md5(c.chunk_text), 'distant' FROM p JOIN c ON p.doc_id = c.doc_id AND p.section_name = c.section_name AND p.j = c.i
+""", "chunks"))
 def training_pairs(spark, sf_dir):
-    """No oracle: distant partners are drawn by a hash that other engines lack."""
-    return C.training_pairs(S.chunks(spark, sf_dir), ["doc_id", "section_name"], ["pos"], "chunk_text")
+    p = C.training_pairs(S.chunks(spark, sf_dir), ["doc_id", "section_name"], ["pos"], "chunk_text", F.col("doc_id") * 31 + F.length("section_name"))
+    return p.withColumns({"first": F.md5("first"), "second": F.md5("second")})
 
 
-_DRAW = "((k + 42) % 1000003 * 48271 + 42) % 2147483647"
+@query("adjacent_pairs", S.with_relations("SELECT doc_id, section_name, md5(chunk_text) AS first, md5(nxt) AS second FROM (SELECT *, lead(chunk_text) OVER (PARTITION BY doc_id, section_name ORDER BY pos) AS nxt FROM chunks) WHERE nxt IS NOT NULL", "chunks"))
+def adjacent_pairs(spark, sf_dir):
+    return training_pairs(spark, sf_dir).where("kind = 'adjacent'").select("doc_id", "section_name", "first", "second")
 
 
 @query("sampled_documents", f"SELECT k AS doc_id FROM (SELECT doc_id AS k FROM documents) ORDER BY {_DRAW}, k LIMIT 100")

@@ -64,58 +64,34 @@ def test_table_metric(spark):
     assert L.first_in_tables(df, "cogs", dict(L.METRIC_LABELS)["cogs"]).count() == 0
 
 
-def plain_chunks(text, limit, least):
-    """A second version of the fold, with its own bookkeeping."""
-    count = lambda s: max(1, int(len(s.split()) * 1.33))
-    split = lambda p: [s for s in __import__("re").split(r"(?<=[.!?])\s+(?=[A-Z\d])", p) if s]
-    out, wait, over = [], [], []
-    size = 0
-
-    def emit(parts):
-        t = " ".join(parts).strip()
-        if count(t) >= least:
-            out.append(t)
-
-    for p in text.split("\n\n"):
-        n = count(p)
-        if n > limit:
-            if wait:
-                emit(wait)
-            buf = list(over)
-            total = sum(map(count, buf))
-            for s in split(p):
-                if buf and total + count(s) > limit:
-                    emit(buf)
-                    buf = buf[-1:]
-                    total = count(buf[0])
-                buf.append(s)
-                total += count(s)
-            wait, size, over = buf, total, buf[-1:]
-        elif size + n > limit:
-            emit(wait)
-            over = split(wait[-1])[-1:] if wait else []
-            wait = [*over, p]
-            size = sum(map(count, wait))
-        else:
-            wait.append(p)
-            size += n
-    if wait:
-        emit(wait)
-    return out
-
-
-def test_chunks(spark):
-    import random
-
-    rng = random.Random(5)
-    sentence = lambda: " ".join(rng.choice(["aa", "bb", "cc"]) for _ in range(rng.randint(1, 30))).capitalize() + "."
-    texts = ["\n\n".join(" ".join(sentence() for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 9))) for _ in range(40)]
-    df = spark.createDataFrame([(f"f{i}", 0, T.NOTES, t) for i, t in enumerate(texts)] + [("f0", 1, T.BALANCE, "tabela " * 99)], "filing_id string, ord int, section string, text string")
+def words(n, name):
+    """A sentence of n words: int(n * 1.33) tokens."""
+    return " ".join([name.capitalize(), *[name] * (n - 1)]) + "."
+
+
+GOLDEN = [  # limit 13, least 3; words → tokens: 2 → 2, 3 → 3, 5 → 6, 6 → 7, 7 → 9, 10 → 13
+    ("", []),
+    (words(2, "a"), []),  # below the least size
+    (f"{words(5, 'a')}\n\n{words(6, 'b')}", [words(5, "a") + " " + words(6, "b")]),  # 6 + 7 fit
+    (f"{words(6, 'a')}\n\n{words(6, 'b')}", [words(6, "a"), words(6, "a") + " " + words(6, "b")]),  # full: the last sentence leads the next
+    (f"{words(3, 'a')} {words(3, 'b')}\n\n{words(7, 'c')}", [words(3, "a") + " " + words(3, "b"), words(3, "b") + " " + words(7, "c")]),
+    (f"{words(6, 'a')} {words(6, 'b')} {words(2, 'c')}", [words(6, "a"), words(6, "a") + " " + words(6, "b"), words(6, "b") + " " + words(2, "c")]),  # 14 words: by sentences; each chunk holds one new sentence at least
+    (f"{words(3, 'a')}\n\n{words(20, 'b')}\n\n{words(3, 'c')}", [words(3, "a"), words(20, "b"), words(20, "b") + " " + words(3, "c")]),  # a long sentence is never cut; nothing is handed on before it
+    (f"{words(6, 'a')}\n\n{words(6, 'b')}\n\n{words(3, 'x')}\n\n{words(20, 'c')}", [words(6, "a"), words(6, "a") + " " + words(6, "b"), words(6, "b") + " " + words(3, "x"), words(6, "b"), words(6, "b") + " " + words(20, "c")]),  # what was handed on last goes into the long paragraph
+    (f"{words(20, 'a')}\n\n{words(20, 'b')}", [words(20, "a"), words(20, "a"), words(20, "a") + " " + words(20, "b")]),
+    (f"{words(10, 'a')}\n\n{words(10, 'b')}\n\n{words(10, 'c')}", [words(10, "a"), words(10, "a") + " " + words(10, "b"), words(10, "b") + " " + words(10, "c")]),
+]
+
+
+def test_chunks_by_hand(spark):
+    df = spark.createDataFrame([(f"f{i:02d}", 0, T.NOTES, t) for i, (t, _) in enumerate(GOLDEN)] + [("f03", 1, T.REPORT, words(4, "z")), ("f03", 2, T.BALANCE, "tabela " * 99)], "filing_id string, ord int, section string, text string")
     got = {}
-    for r in C.chunk_sections(df, 60, 20).orderBy("filing_id", "chunk_index").collect():
-        assert r.chunk_index == len(got.get(r.filing_id, [])) and r.chunk_id == f"{r.filing_id}_{r.chunk_index:04d}" and r.token_count >= 20
+    for r in C.chunk_sections(df, 13, 3).orderBy("filing_id", "chunk_index").collect():
+        assert r.chunk_index == len(got.get(r.filing_id, [])) and r.chunk_id == f"{r.filing_id}_{r.chunk_index:04d}" and r.token_count >= 3
         got.setdefault(r.filing_id, []).append(r.text)
-    assert got == {f"f{i}": c for i, t in enumerate(texts) if (c := plain_chunks(t, 60, 20))}
+    want = {f"f{i:02d}": c for i, (_, c) in enumerate(GOLDEN) if c}
+    want["f03"] = [*want["f03"], words(4, "z")]
+    assert got == want
 
 
 def test_truth(spark):
