@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate as D
 from quarry.llm import language_id as G
-from quarry.llm import licences, line_dedup, near_dedup
+from quarry.llm import line_dedup, near_dedup
 from quarry.llm import queries as Q
 from quarry.llm import quality_crf as C
 from quarry.llm import shared
@@ -265,33 +265,6 @@ def test_quality_odd(spark, odd):
     assert C.score(odd.limit(0), m).count() == 0
 
 
-# Op 9
-
-
-def test_licences(spark, odd):
-    rows = [(1, "x\nThis work is licensed under the GNU General Public License, version 3."), (2, "Released under the MIT License."), (3, "You need a licence to drive."), (4, None), (5, ""), (6, "Licensed under CC BY-NC 4.0.\nAll rights reserved."), (6, "no such thing")]
-    got = {(r.doc_id, r.paragraph): (r.family, r.confirmed) for r in licences.licence_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(1, 1): ("gpl", True), (2, 0): ("mit", True), (3, 0): ("unknown", False), (6, 0): ("cc", True), (6, 1): ("proprietary", True)}
-    assert licences.licence_paragraphs(odd).count() == 0 and licences.licence_paragraphs(odd.limit(0)).count() == 0
-
-
-def test_licences_like_a_plain_version(spark):
-    import math
-
-    weights, cal = licences.model()
-    d = "/root/testdata/sf0.001"
-    want = {}
-    for r in spark.read.parquet(f"{d}/documents.parquet").collect():
-        for i, line in enumerate(r.text.split("\n")):
-            if not re.search(licences.ANCHOR, line):
-                continue
-            g = licences.grams(licences.tokens(line))
-            p = {f: 1 / (1 + math.exp(-(cal[f][1] * (cal[f][0] + sum(w.get(x, 0) for x in g) / math.sqrt(len(g))) + cal[f][2]))) for f, w in weights.items()}
-            best = max(p, key=lambda f: (p[f], f))
-            want[r.doc_id, i] = (best if p[best] >= 0.5 else "unknown", round(p[best], 6))
-    assert {(r.doc_id, r.paragraph): (r.family, round(r.probability, 6)) for r in Q.op9(spark, d).collect()} == want and want
-
-
 def test_digests(spark, tiny):
     out = {r.doc_id: r for r in Q.op1(spark, tiny).collect()}
     kept = {r.doc_id: r.kept for r in S.remove_repeats(spark.read.parquet(f"{tiny}/documents.parquet")).collect()}
