@@ -24,7 +24,8 @@ large, that is similar enough ends in one class.
 
 Defined results: null and empty texts have no shingles and form one class as copies of each other;
 null ids are carried and never name a class unless no member has an id (then it is null); repeated
-rows are members; extra columns are ignored.
+rows, and different texts under one id, are members each; very long texts are compared whole; an
+empty table gives no rows; extra columns are ignored (`keep_one` carries them).
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import byte_class, mix, rolling, runs_hashes, span_hashes, spread_join, text_slices, word_bounds, written
+from .shared import byte_class, discard, mix, rolling, runs_hashes, span_hashes, spread_join, text_slices, word_bounds, written
 
 SHINGLE, BANDS, ROWS, BLOCK, CENTRES = 5, 25, 5, 256, 4
 #: Cells of the table of shingle counts by which rare ones are told (any order of shingles gives the same links).
@@ -234,16 +235,21 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = spread_join(large, least, ["a"]).select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        edges = written(small.where("a <> b").distinct(), "edges")
+        last, edges = edges, written(small.where("a <> b").distinct(), "edges")
+        discard(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges
         before = now
 
 
-def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
-    """Per row: the id, class_id (the smallest id of its class), class_size (rows)."""
-    base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).select("__id", F.xxhash64("__text").alias("t"), "__text")
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).select("__id", F.xxhash64("__text").alias("t"), "__text")
+
+
+def _roots(docs: DataFrame, id_col: str, text_col: str, similarity: float, block: int) -> DataFrame:
+    """Per distinct text: t (its hash), rep (the smallest id), n (rows), root (the t that names its class); a written table."""
+    base = _texts(docs, id_col, text_col)
     signed = written(base.select("t", "__text").mapInArrow(_signatures, "t long, keys array<long>").groupBy("t").agg(F.first("keys").alias("keys")), "signatures")
     bands = signed.select("t", F.explode("keys").alias("k"))
     buckets = bands.groupBy("k").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("t")).alias("x"), F.min("t").alias("u")).where(F.col("n") > 1)
@@ -265,16 +271,30 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     if not wide.isEmpty():
         more = _missed(wide, sets, labels, similarity, block)
         labels = components(labels.select(F.col("t").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnsRenamed({"a": "t", "b": "root"})
-    held = written(held.join(labels, "t", "left").select("t", "rep", "n", F.coalesce("root", "t").alias("root")), "held")
-    classes = held.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
-    of = written(spread_join(held.select("t", "root"), classes, ["root"]).select("t", "class_id", "class_size"), "classes")
-    return spread_join(base.select("__id", "t"), of, ["t"]).select(F.col("__id").alias(id_col), "class_id", "class_size")
+    out = written(held.join(labels, "t", "left").select("t", "rep", "n", F.coalesce("root", "t").alias("root")), "roots")
+    discard(signed, members, held, sets)
+    return out
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class, that with the smallest id; rows without an id stay."""
-    classes = near_duplicate_classes(docs, id_col, text_col)
-    stay = classes.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("__stay")).distinct()
-    named = docs.where(F.col(id_col).isNotNull())
-    kept = named.join(stay, F.col(id_col) == F.col("__stay"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """Per row: the id, class_id (the smallest id of its class), class_size (rows)."""
+    held = _roots(docs, id_col, text_col, similarity, block)
+    classes = held.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
+    of = written(spread_join(held.select("t", "root"), classes, ["root"]).select("t", "class_id", "class_size"), "classes")
+    discard(held)
+    return spread_join(_texts(docs, id_col, text_col).select("__id", "t"), of, ["t"]).select(F.col("__id").alias(id_col), "class_id", "class_size")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """One row of each class: the one with the smallest id (of texts with that id the one with the smallest hash; of equal rows one).
+
+    Rows without an id stay. Different texts under one id are rows of their own classes.
+    """
+    held = _roots(docs, id_col, text_col, similarity, block)
+    best = held.where(F.col("rep").isNotNull()).groupBy("root").agg(F.min(F.struct("rep", "t")).alias("b"))
+    best = written(best.select(F.col("b.rep").alias("__b_id"), F.col("b.t").alias("__b_t")), "best")
+    discard(held)
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__t"))
+    kept = rows.join(best, (F.col("__id") == F.col("__b_id")) & (F.col("__t") == F.col("__b_t")), "left_semi").dropDuplicates(["__id", "__t"])
+    kept = kept.unionByName(rows.where(F.col("__id").isNull()))
+    return kept.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

@@ -3,8 +3,9 @@
 Documents are tokenized where they are read; a document longer than a sequence is cut into full
 pieces and a rest, so a piece's checksum is known before packing and only (id, start, length,
 checksum) is shuffled. Documents fall into randomised groups of about group_docs by a hash of
-id and content, the number of groups follows the number of documents, and each group is packed
-on its own. Within a group pieces are placed longest first into the leftmost bin with room,
+content, partition and how often the partition has had that content (so copies spread, and a task
+that runs again deals alike), the number of groups follows the number of documents, and each group
+is packed on its own. Within a group pieces are placed longest first into the leftmost bin with room,
 found in a tree whose nodes hold the larger room of their children.
 
 Tokens: words between spaces and line breaks are tokenized once and cached per worker (bounded),
@@ -12,7 +13,8 @@ as the tokenizer never joins across them; a tail of ASCII punctuation after a le
 token of its own and is cached apart.
 
 Defined results: null and empty texts are the end token alone; repeated rows are packed once
-each; a null id is carried; an empty table gives no rows; extra columns are ignored.
+each; a null id is carried; texts of any length are tokenized whole; an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +101,7 @@ class WordTokenizer:
         split = []
         for w in words:
             b = w.rstrip(_PUNCT)
-            split.append((b, w[len(b) :]) if b and b != w and b[-1].isalpha() and "<|" not in w else (w, ""))
+            split.append((b, w[len(b) :]) if b and b != w and b.lower()[-1].isalpha() and "<|" not in w else (w, ""))
         new = [x for x in dict.fromkeys(x for pair in split for x in pair) if x not in self.known]
         plain = {x: p for x in new if (p := _plain(x)) is not None} if self.direct else {}
         rest = [x for x in new if x not in plain]
@@ -144,17 +147,22 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
-def _pieces(path: str, end_id: int, length: int, keep: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pieces(path: str, end_id: int, length: int, groups: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last = tokenizer(path), np.uint32(end_id)
+        had: dict[int, int] = {}
+        place = TaskContext.get().partitionId()
         words.clear()  # what a former task has left, so that a worker's memory doesn't follow the tasks it has run
         for batch in batches:
             for lo, hi, data, ends in text_slices(batch.column(1), 2 * SLICE_BYTES):
                 ids, off = words.encode(data, ends)
-                row, start, size, crc, total = [], [], [], [], []
+                row, start, size, crc, total, dealt = [], [], [], [], [], []
                 ends = off.tolist()
                 for i in range(hi - lo):
                     doc = np.append(ids[ends[i] : ends[i + 1]], last)
+                    key = zlib.crc32(doc.tobytes()) << 32 | len(doc)
+                    had[key] = had.get(key, 0) + 1
+                    group = zlib.crc32(f"{key} {place} {had[key]}".encode()) % groups
                     for a in range(0, len(doc), length):
                         piece = doc[a : a + length]
                         row.append(lo + i)
@@ -162,7 +170,8 @@ def _pieces(path: str, end_id: int, length: int, keep: list[str]) -> Callable[[I
                         size.append(len(piece))
                         crc.append(zlib.crc32(piece.tobytes()))
                         total.append(len(doc))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), *(pa.array(x, pa.int64()) for x in (start, size, crc, total))], names=["__id", "start", "length", "ids_crc32", "doc_tokens"])
+                        dealt.append(group)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int32())), *(pa.array(x, pa.int64()) for x in (start, size, crc, total, dealt))], names=["__id", "start", "length", "ids_crc32", "doc_tokens", "__g"])
 
     return run
 
@@ -221,6 +230,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     groups = max(1, docs.count() // group_docs)
     cols = f"__id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    pieces = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(_pieces(tokenizer_path, end_id, length, []), cols)
-    grouped = pieces.withColumn("__g", F.pmod(F.xxhash64("__id", "ids_crc32", "start"), F.lit(groups)))
-    return grouped.groupBy("__g").applyInArrow(_pack(length), f"{cols}, sequence_id long, offset long").withColumnRenamed("__id", id_col)
+    pieces = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(_pieces(tokenizer_path, end_id, length, groups), f"{cols}, __g long")
+    return pieces.groupBy("__g").applyInArrow(_pack(length), f"{cols}, sequence_id long, offset long").withColumnRenamed("__id", id_col)

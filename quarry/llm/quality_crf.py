@@ -4,13 +4,16 @@ Each line has features of its own and of its neighbours; the chain's forward-bac
 of "good", weighted by line length, average to the document's score, which a logistic map fitted
 on the training documents calibrates. A training document's label holds for all its lines.
 
-Fitting uses a bounded sample: the max_documents labelled rows with the smallest hash of their id
-(features, not texts, reach the driver), in stretches of at most SEGMENT lines. Scoring covers
-every line of every text in one pass without a shuffle.
+Fitting uses a bounded sample: the max_documents labelled rows with the smallest hash of their id,
+without those of more than max_breaks line breaks (features, not texts, reach the driver), in
+stretches of at most SEGMENT lines. Scoring covers every line of every text, however long, in one
+pass without a shuffle.
 
 Defined results: a null or empty text is one empty line and gets that line's score; with labels
 of one kind only, or none, every score is 0.5 or the share of good labels; null labels are not
-learned; several labels of one id count as their smallest; extra columns are ignored.
+learned; several labels of one id count as their smallest; repeated rows are scored, and learned
+from, once each; null ids are scored; an empty table gives no rows; extra columns are carried or
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from .shared import byte_class, span_hashes, text_slices, word_bounds
 
 #: Labelled documents that are learned from at most.
 MAX_DOCUMENTS = 3000
+#: Line breaks of a document that is learned from at most; with MAX_DOCUMENTS it bounds what reaches the driver.
+MAX_BREAKS = 1000
 #: Lines of a training stretch.
 SEGMENT = 64
 _NOT_SPACE = ~byte_class((32, 32), (9, 13))
@@ -230,11 +235,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary())], names=["label", "x"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_documents: int = MAX_DOCUMENTS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_documents: int = MAX_DOCUMENTS, max_breaks: int = MAX_BREAKS) -> Model:
     """labels: (id, label 0 or 1); those that are to be learned from only."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("__y"))
     some = known.orderBy(F.xxhash64("__id"), "__id").limit(max_documents)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(some), "__id").select("__y", "__text")
+    rows = rows.where(F.coalesce(F.length("__text") - F.length(F.translate("__text", "\n", "")), F.lit(0)) <= max_breaks)
     got = rows.mapInArrow(_features, "label int, x binary").toArrow()
     width = len(_CLASSES) + 11
     parsed = []
@@ -255,12 +261,12 @@ def _score(model, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns named by keep (all by default), and __score."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "__score") -> DataFrame:
+    """The columns named by keep (all by default), and the score, under a name that none of them has."""
     keep = list(keep if keep is not None else docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     cols = keep if text_col in keep else [*keep, text_col]  # the text crosses over once
     plain = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(cols)])
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     out = plain.mapInArrow(_score(sent, cols.index(text_col)), f"{kinds}, __score double")
-    return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], "__score")
+    return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], F.col("__score").alias(name))

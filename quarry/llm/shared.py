@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,20 +19,49 @@ SLICE_BYTES = 2_000_000
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests)."""
+    """The folder that driver and executors share: that in spark.checkpoint.dir.
+
+    Where a local session names none (tests), one of our own, removed at exit; a cluster has to name one.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quarry-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="quarry-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return f"file://{_OWN[0]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table written to the shared folder: cuts lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/quarry/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._quarry_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that written() made; for those that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df._quarry_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unlike(name: str, columns: list[str]) -> str:
+    """name, or a longer one that no column has (whatever the case)."""
+    have = {c.lower() for c in columns}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -1,4 +1,5 @@
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -96,7 +97,20 @@ def test_line_dedup(docs, odd):
         want[d, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
     assert by_row(line_dedup.drop_repeated_lines(df), "doc_id", "n_lines", "n_dropped", "kept") == want
     assert line_dedup.drop_repeated_lines(odd.limit(0)).count() == 0
-    assert line_dedup.drop_repeated_lines(odd, keep=["kept", "__text"]).count() == odd.count()
+    carried = line_dedup.drop_repeated_lines(odd, keep=["kept", "__text", "n_words"])
+    assert carried.select("row.*").columns == ["kept", "__text", "n_words"]
+    assert by_row(carried.select("doc_id", "row.__text"), "doc_id", "__text") == by_row(odd.select("doc_id", "__text"), "doc_id", "__text")
+
+
+def test_line_dedup_is_linear(spark):
+    """A text that loses hundreds of thousands of lines."""
+    import time
+
+    lines = [f"a line with the number {i}" for i in range(300_000)]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(lines[:100]) + "\nhere it differs\n" + "\n".join(lines[100:]))], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: (r.n_dropped, r.n) for r in line_dedup.drop_repeated_lines(df).select("doc_id", "n_dropped", F.length("kept").alias("n")).collect()}
+    assert got == {1: (0, len("\n".join(lines))), 2: (300_000, len("here it differs"))} and time.time() - start < 60
 
 
 # Op 10
@@ -215,7 +229,7 @@ def test_language_id_held_out(spark):
 
 def test_language_id_odd(spark, odd):
     m = G.fit(spark.createDataFrame([("x y z", "b"), ("q q q", "a"), (None, "c"), ("t", None)], "text string, lang string"))
-    assert m.langs == ["a", "b"]
+    assert [x.langs for x in m] == [["a", "b"]]
     got = {r.doc_id: (r.lang_pred, r.score) for r in G.predict(odd, m).collect()}
     assert got[1] == got[2] == got[8] == ("und", 0.0) and got[9][0] in ("a", "b") and 0 <= got[3][1] <= 1
     assert G.predict(odd, G.fit(odd.select("text", F.lit(None).cast("string").alias("lang")))).where("lang_pred <> 'und'").count() == 0
@@ -224,9 +238,99 @@ def test_language_id_odd(spark, odd):
     assert only[0].lang_pred == "und" and only[1].lang_pred != "und"
 
 
+@pytest.mark.parametrize(("block", "cells"), [(512, 1 << 22), (2, 40)])
+def test_language_id_like_a_plain_version(spark, docs, odd, monkeypatch, block, cells):
+    """Counts in dictionaries and one text after the other; in blocks of languages too."""
+    import math
+
+    monkeypatch.setattr(G, "MAX_LANGUAGES", block)
+    monkeypatch.setattr(G, "CELLS", cells)
+    rows = [(t, la) for _, t, la in docs.where("length(text) < 1500").select("doc_id", "text", "lang").limit(40).collect()]
+    rows += [("Über äÄ ßÿ Ωμέγα ПРИВЕТ мир", "x1"), ("İstanbul 𝔘𝔫", "x2"), ("", "x2"), (None, "x3"), ("abc", None)]
+    hashed = lambda g, k: ((functools.reduce(lambda a, c: (a * 16777619 & 0xFFFFFFFF) ^ c, [ord(x) for x in g[1:]], ord(g[0])) + k - 1) * 2654435761 & 0xFFFFFFFF) >> 17
+    low = lambda t: "".join(c.lower() if len(c.lower()) == 1 and ord(c) < 65536 else c for c in t)
+
+    def grams(t):
+        small = low(t)
+        return [hashed(small[i : i + k], k) for k in (2, 3, 4) for i in range(len(t) - k + 1)]
+
+    counts, number = collections.defaultdict(collections.Counter), collections.Counter()
+    for t, la in rows:
+        if t is not None and la is not None:
+            counts[la].update(grams(t))
+            number[la] += 1
+    langs = sorted(number)
+    size = {la: sum(counts[la].values()) + 0.5 * G.BUCKETS for la in langs}
+    want = []
+    texts = pairs(docs.where("length(text) < 1500").select("doc_id", "text").limit(25)) + [(d, (t or "")[:900] or t) for d, t in pairs(odd)]
+    for d, t in texts:
+        gs = grams(t or "")
+        logs = [math.log(number[la] / sum(number.values())) + sum(math.log((counts[la][g] + 0.5) / size[la]) for g in gs) for la in langs]
+        best = max(range(len(langs)), key=lambda i: (logs[i], -i))
+        some = any(c.isalpha() for c in t or "")
+        want.append((d, langs[best] if some else "und", round(1 / sum(math.exp(x - logs[best]) for x in logs), 2) if some else 0.0))
+    models = G.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(models) == -(-len(langs) // block)
+    out = G.predict(spark.createDataFrame(texts, "doc_id long, text string"), models).collect()
+    assert collections.Counter((r.doc_id, r.lang_pred, round(r.score, 2)) for r in out) == collections.Counter(want)
+
+
 # Op 2
 
 
+def chain_by_hand(model, x, size):
+    """Score of one text from the features of its lines: forward and backward sums, line by line."""
+    import math
+
+    x = (x - model.mean) / model.scale
+    n = len(x)
+    zero = np.zeros(x.shape[1])
+    logit = []
+    for i in range(n):
+        full = [*x[i], *(x[i - 1] if i else zero), *(x[i + 1] if i + 1 < n else zero), float(i == 0), float(i == n - 1), 1.0]
+        logit.append(sum(a * b for a, b in zip(full, model.weights.tolist(), strict=True)))
+    both = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b)))
+    t = model.trans.tolist()
+    fore, back = [(0.0, logit[0])], [(0.0, 0.0)]
+    for i in range(1, n):
+        fore.append(tuple(both(fore[-1][0] + t[0][k], fore[-1][1] + t[1][k]) + k * logit[i] for k in (0, 1)))
+        nxt = [back[-1][k] + k * logit[n - i] for k in (0, 1)]
+        back.append(tuple(both(t[k][0] + nxt[0], t[k][1] + nxt[1]) for k in (0, 1)))
+    back.reverse()
+    p = [1 / (1 + math.exp(min(700, f[0] + b[0] - f[1] - b[1]))) for f, b in zip(fore, back)]
+    mean = sum(a * b for a, b in zip(p, size.tolist())) / sum(size)
+    mean = min(max(mean, 1e-4), 1 - 1e-4)
+    a, b = model.calibration
+    return 1 / (1 + math.exp(-(a * math.log(mean / (1 - mean)) + b)))
+
+
+def test_quality_like_a_plain_version(spark, tiny, odd):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    model = Q.quality_model(spark, docs, tiny)
+    got = {r.doc_id: r for r in Q.op2(spark, tiny).collect()}
+    for d, t in pairs(docs):
+        raw = np.frombuffer((t or "").encode(), dtype=np.uint8)
+        x, size, first = C.line_features(raw, np.array([0, len(raw)]))
+        lines = (t or "").encode().split(b"\n")
+        assert list(first) == [0, len(lines)] and (size == [len(y) + 1 for y in lines]).all()
+        for row, y in zip(x, lines):
+            words = y.split()
+            assert np.allclose(row[:7] * max(1, len(y)), [len(re.findall(p, y)) for p in (rb"[A-Z]", rb"[a-z]", rb"[0-9]", rb"[!?]", rb"[#-&*+/<-> @\[-`{-~]".replace(b" ", b""), rb"[\x80-\xff]", rb"[,.]")])
+            assert np.isclose(row[9], np.log1p(len(y)) / 5) and np.isclose(row[10], np.log1p(max(1, len(words))) / 3)
+        assert abs(got[d].score - chain_by_hand(model, x, size)) < 1e-6
+        assert got[d].held_out == (zlib.crc32(str(d).encode()) % 5 == 0) and got[d].predicted == int(got[d].score >= 0.3)
+
+
+def test_quality_bounds_what_is_learned(spark):
+    rows = [(i, ("good line of text here\n" if i % 2 else "!!! $$$\n") * 20) for i in range(40)] + [(99, "!!! $$$\n" * 5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(99, 1)], "doc_id long, quality int")
+    m = C.fit(df, labels)
+    assert {r.doc_id: r.s > 0.5 for r in C.score(df, m, name="s").collect()} == {i: i % 2 == 1 for i in [*range(40)]} | {99: False}
+    clash = df.withColumn("__score", F.lit("x")).withColumn("Score", F.lit(1))
+    assert C.score(clash, m, name="made").columns == ["doc_id", "text", "__score", "Score", "made"]
+
+
 def test_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
     lab = spark.read.parquet(f"{d}/labels.parquet")
