@@ -1,11 +1,13 @@
 """Media columns: bytes stored as lossless WebP images, read back as pixel arrays.
 
 A payload is an opaque gray image 192 pixels wide, one byte a pixel; a payload of more rows than
-an image can have becomes several files one after the other. Reading decodes the stored bytes
+an image can have becomes several files one after the other. The encoder chooses transforms for each
+image: a palette, a predictor, or the subtraction of green alone. Reading decodes the stored bytes
 with the full decoder and works out features of the pixels.
 
 Defined results: a null or empty text is one row of spaces; equal texts get equal bytes; a null
-or broken media value reads as null pixels and features with the reason in `error`; extra
+or broken media value reads as null pixels and features with the reason in `error`; null ids and
+repeated rows are carried; texts of any length are stored whole; an empty table gives no rows; extra
 columns are carried where named and otherwise ignored.
 """
 
@@ -33,7 +35,7 @@ def payload(text: Column) -> Column:
 
 def to_media(data: bytes) -> bytes:
     gray = np.frombuffer(data, dtype=np.uint8).reshape(-1, WIDTH)
-    return b"".join(webp.encode_gray(gray[i : i + MAX_ROWS]) for i in range(0, len(gray), MAX_ROWS))
+    return b"".join(webp.encode_best(gray[i : i + MAX_ROWS]) for i in range(0, len(gray), MAX_ROWS))
 
 
 def from_media(data: bytes) -> np.ndarray:

@@ -363,6 +363,45 @@ def _predicted(out: list[int], at: int, x: int, y: int, width: int, mode: int) -
     return predict(mode, out[at - 1], out[at - width], out[at - width + 1], out[at - width - 1])
 
 
+#: Predictors whose differences are worked out without a loop over pixels.
+LEFT, TOP = 1, 2
+
+
+def _differences(px: np.ndarray, height: int, width: int, mode: int) -> np.ndarray:
+    """Each pixel less the one to its left, or the one above (the other one in the first row or column)."""
+    out = []
+    for k, c in enumerate(channels(px)):
+        c = c.reshape(height, width)
+        d = c.copy()
+        if mode == LEFT:
+            d[:, 1:] -= c[:, :-1]
+            d[1:, 0] -= c[:-1, 0]
+        else:
+            d[1:] -= c[:-1]
+            d[0, 1:] -= c[0, :-1]
+        if k == 0:
+            d[0, 0] += 1  # less 255
+        out.append(d.ravel())
+    return _join(*out)
+
+
+def _summed(diff: np.ndarray, height: int, width: int, mode: int) -> np.ndarray:
+    """What _differences came from."""
+    out = []
+    for k, d in enumerate(channels(diff)):
+        c = d.reshape(height, width).astype(np.uint32)
+        if k == 0:
+            c[0, 0] += 255
+        if mode == LEFT:
+            c[:, 0] = np.cumsum(c[:, 0], dtype=np.uint32)
+            c = np.cumsum(c, axis=1, dtype=np.uint32)
+        else:
+            c[0] = np.cumsum(c[0], dtype=np.uint32)
+            c = np.cumsum(c, axis=0, dtype=np.uint32)
+        out.append(c.ravel())
+    return _join(*out)
+
+
 @dataclass
 class Transform:
     kind: int
@@ -386,6 +425,8 @@ class Transform:
             r = (r + (green_red * g8 >> 5).astype(np.uint32)) & np.uint32(255)
             r8 = r.astype(np.uint8).view(np.int8).astype(np.int32)
             return _join(a, r, g, b + (green_blue * g8 >> 5).astype(np.uint32) + (red_blue * r8 >> 5).astype(np.uint32))
+        if len(block) and (block == block[0]).all() and (mode := int(block[0] >> np.uint32(8)) & 15) in (LEFT, TOP):
+            return _summed(image, height, self.width, mode)
         modes, diff, out = ((block >> np.uint32(8)) & np.uint32(15)).tolist(), image.tolist(), [0] * len(image)
         at = 0
         for y in range(height):
@@ -739,7 +780,9 @@ def encode(image: np.ndarray, transforms: tuple[int, ...] = (), block: int = 3,
             _write_image(w, data, False, False)
             rows, cols = np.divmod(np.arange(len(px)), inner)
             each = data[(rows >> block) * _up(inner, block) + (cols >> block)]
-            if kind == PREDICTOR:
+            if kind == PREDICTOR and (data == data[0]).all() and (mode := int(data[0] >> 8) & 15) in (LEFT, TOP):
+                px = _differences(px, height, inner, mode)
+            elif kind == PREDICTOR:
                 flat = px.tolist()
                 guess = [_predicted(flat, i, i % inner, i // inner, inner, m) for i, m in enumerate(((each >> np.uint32(8)) & np.uint32(15)).tolist())]
                 px = _join(*(x - y for x, y in zip(channels(px), channels(np.array(guess, dtype=np.uint32)), strict=True)))
@@ -795,6 +838,38 @@ def encode_gray(gray: np.ndarray) -> bytes:
     return _file(w.done())
 
 
+#: Pixels of an image up to which other transforms than the subtraction of green are weighed.
+WEIGHED = 1 << 18
+
+
+def _cost(values: np.ndarray) -> float:
+    """Bits that the values take at least, each coded by itself."""
+    counts = np.bincount(values.ravel(), minlength=256)
+    counts = counts[counts > 0]
+    return float((counts * np.log2(counts.sum() / counts)).sum())
+
+
+def encode_best(gray: np.ndarray) -> bytes:
+    """A file of an opaque gray image (uint8) with the transforms that suit it.
+
+    Few colours are packed by a palette; differences to the left or to the row above are taken if
+    they cost well under what the values do; otherwise (plain text) only green is subtracted.
+    """
+    if gray.size <= WEIGHED:
+        flat = gray.ravel()
+        colours = int(np.count_nonzero(np.bincount(flat, minlength=256)))
+        if colours > 1:
+            wide = gray.astype(np.uint32) * np.uint32(0x010101) | np.uint32(0xFF000000)
+            if colours <= 16:
+                return encode(wide, (PALETTE,))
+            best = 0.7 * _cost(flat)
+            for mode, axis in ((LEFT, 1), (TOP, 0)):
+                if len(gray) > 1 and _cost(np.diff(gray, axis=axis)) < best:
+                    blocks = _up(gray.shape[0], 9) * _up(gray.shape[1], 9)
+                    return encode(wide, (PREDICTOR, SUBTRACT_GREEN), block=9, modes=np.full(blocks, mode << 8))
+    return encode_gray(gray)
+
+
 def _file(chunk: bytes) -> bytes:
     pad = len(chunk) & 1
     return b"RIFF" + struct.pack("<I", 12 + len(chunk) + pad) + b"WEBPVP8L" + struct.pack("<I", len(chunk)) + chunk + b"\0" * pad
