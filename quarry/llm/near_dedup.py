@@ -215,7 +215,7 @@ def _missed(wide: DataFrame, sets: DataFrame, labels: DataFrame, similarity: flo
     rare = written(held.select("t", "root", "s").mapInArrow(_rarest(counts, similarity), "k long, t long, root long"), "rarest")
     groups = rare.groupBy("k").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("t")).alias("x"), F.min("t").alias("u"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     groups = groups.groupBy("n", "x", "u").agg(F.min("k").alias("k")).select("k", "n")
-    size = 4 * block
+    size = block
     blocks = F.ceil(F.col("n") / size).cast("int")
     dealt = spread_join(rare.select("k", "t"), groups, ["k"]).select("k", "t", blocks.alias("of"), F.pmod(F.xxhash64("t", "k"), blocks).cast("int").alias("i"))
     others = F.when(F.col("of") > 1, F.filter(F.sequence(F.lit(0), F.col("of") - 1), lambda j: j != F.col("i"))).otherwise(F.array(F.lit(0)))
