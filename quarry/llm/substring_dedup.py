@@ -6,8 +6,8 @@ windows with one anchor form a run, so each run belongs to exactly one reference
 runs of the corpus that share its anchor), and no other block can hold one of its windows; a
 document is thus parsed against every block that could match it, and never against the rest.
 
-The index holds for each block how many runs it has, whether all have the same words, and the
-positions (text, word) of its first and its last occurrence. A run whose block holds nothing else
+The index holds for each block how many runs it has and whether all have the same words, and, where
+that is more than one, the positions (text, word) of its first and its last occurrence. A run whose block holds nothing else
 is a literal. A run whose block holds only copies of itself matches the first occurrence (the last,
 if it is the first itself) as a whole. Where the copies of a block disagree, matches end inside the
 run: of these boundary runs each window is looked up by itself, in an index of windows made alike.
@@ -23,10 +23,11 @@ Blocks and windows are counted by aggregates that combine on the map side, so a
 one row a task, and joins back go through exchanges that adaptive execution may split. Verdicts
 belong to texts, so copies share them.
 
-Windows and runs are told apart by 128 bits (two hashes of their words; words by 64 bits), texts
-by 96 bits. Defined results: null and empty texts have no words; a repeated row counts as another
+Windows are told apart by 128 bits (two hashes of their words; words by 64 bits), texts by 87 bits.
+Runs of a block take 64 bits, as a block is wrongly taken for copies of one run only if all its
+different runs have one hash. Defined results: null and empty texts have no words; a repeated row counts as another
 occurrence, so its windows are removed; null ids are carried; texts of any length are taken whole
-(positions have 54 bits); an empty table gives no rows; extra columns are ignored.
+(positions have 31 bits, more than a string can hold); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import byte_class, covered, mix, rolling, runs_hashes, span_hashes, spread_join, text_slices, word_bounds, written
@@ -47,6 +48,9 @@ WINDOW, ANCHOR = 35, 8
 _PLACE = np.uint64((1 << 22) - 1)
 #: Grams that places are worked out for at once; places in such a part fit _PLACE.
 _PART = 1 << 21
+#: r holds 23 bits of a second hash of the text, the first word of a run or window, the number of its windows, and whether its block is all copies of it.
+PLACE_BITS, TEXT_BITS = 39, 23
+_HERE = (1 << PLACE_BITS) - 1
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -75,26 +79,25 @@ def second(words: np.ndarray) -> np.ndarray:
     return mix(words ^ _SECOND)
 
 
-def anchored_runs(words: np.ndarray, first: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, anchor hash, two content hashes) of the runs of a slice; windows by their first word."""
+def anchored_runs(words: np.ndarray, first: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, anchor hash, content hash) of the runs of a slice; windows by their first word."""
     none, no_hash = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     if len(words) < window:
-        return none, none, no_hash, no_hash, no_hash
+        return none, none, no_hash, no_hash
     grams = rolling(words, anchor)
     places = _leftmost_least(grams, window - anchor + 1)
     at = np.arange(len(places))
     room = np.repeat(first[1:], np.diff(first))[: len(places)]
     at = at[at + window <= room]
     if not len(at):
-        return none, none, no_hash, no_hash, no_hash
+        return none, none, no_hash, no_hash
     place = places[at]
     new = np.ones(len(at), dtype=bool)
     new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
     heads = np.flatnonzero(new)
     lo, count = at[heads], np.diff(np.append(heads, len(at)))
-    where = mix((place[heads] - lo).astype(np.uint64))
-    content = (runs_hashes(x, lo, lo + count - 1 + window) ^ where for x in (words, second(words)))
-    return lo, count, grams[place[heads]], *content
+    content = runs_hashes(words, lo, lo + count - 1 + window) ^ mix((place[heads] - lo).astype(np.uint64))
+    return lo, count, grams[place[heads]], content
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -107,10 +110,10 @@ def _runs(window: int, anchor: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
             text_ids, others = (batch.column(i).to_numpy() for i in (0, 1))
             for lo_row, hi_row, data, off in text_slices(batch.column(2)):
                 a, b, first = word_bounds(data, off, WORD)
-                lo, count, gram, content, other = anchored_runs(span_hashes(data, a, b), first, window, anchor)
+                lo, count, gram, content = anchored_runs(span_hashes(data, a, b), first, window, anchor)
                 doc = np.searchsorted(first[1:], lo, side="right")
-                packed = ((lo - first[doc]) << 8) | (count << 1)
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[lo_row:hi_row][doc]) for x in (text_ids, others)), _signed(gram), _signed(content), _signed(other), pa.array(packed, pa.int64())], names=["t", "u", "a", "c", "d", "r"])
+                packed = (others[lo_row:hi_row][doc].astype(np.int64) << PLACE_BITS) | ((lo - first[doc]) << 8) | (count << 1)
+                yield pa.RecordBatch.from_arrays([pa.array(text_ids[lo_row:hi_row][doc]), _signed(gram), _signed(content), pa.array(packed, pa.int64())], names=["t", "a", "c", "r"])
 
     return run
 
@@ -127,6 +130,7 @@ def _matches(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     flat = lists.flatten()
     row = np.repeat(np.arange(len(lists)), size)
     r, source, there = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+    r, there = r & _HERE, there & _HERE
     order = np.lexsort((r >> 8, row))
     return row[order], r[order], source[order], there[order] >> 8
 
@@ -136,8 +140,7 @@ def _windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         for batch in batches:
             text_ids, others = (batch.column(i).to_numpy() for i in (0, 1))
             row, runs = _flat(batch.column(3))
-            check = (runs & 1) == 0
-            row, runs = row[check], runs[check]
+            runs &= _HERE
             for lo_row, hi_row, data, off in text_slices(batch.column(2)):
                 here = (row >= lo_row) & (row < hi_row)
                 if not here.any():
@@ -149,9 +152,10 @@ def _windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 place = np.repeat(r >> 8, count) + inner
                 doc = np.repeat(doc, count)
+                packed = (others[lo_row:hi_row][doc].astype(np.int64) << PLACE_BITS) | place << 8 | 3
                 at = first[doc] + place
                 h = (_signed(rolling(x, window)[at]) for x in (words, second(words)))
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[lo_row:hi_row][doc]) for x in (text_ids, others)), *h, pa.array(place << 8 | 3, pa.int64())], names=["t", "u", "w", "v", "r"])
+                yield pa.RecordBatch.from_arrays([pa.array(text_ids[lo_row:hi_row][doc]), *h, pa.array(packed, pa.int64())], names=["t", "w", "v", "r"])
 
     return run
 
@@ -218,6 +222,20 @@ def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+def _other(r: str) -> Column:
+    """The second hash of a text, from the upper bits of r."""
+    return F.shiftright(r, PLACE_BITS).cast("int").alias("u")
+
+
+def _matched(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(t, u, m) of rows (t, r) of equal keys: m is r and the first of the others, or the last for the first itself."""
+    at = F.struct("t", "r")
+    sources = rows.groupBy(*keys).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    own = (F.col("t") == F.col("lo.t")) & (F.col("r") == F.col("lo.r"))
+    m = F.struct("r", F.when(own, F.col("hi.t")).otherwise(F.col("lo.t")).alias("source"), F.when(own, F.col("hi.r")).otherwise(F.col("lo.r")).alias("there"))
+    return spread_join(rows, sources, keys).select("t", _other("r"), m.alias("m"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """Per row: the id, n_words, n_removed, factors, kept (the words left, joined by a space).
 
@@ -226,21 +244,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not anchor < window <= anchor + 100:
         raise ValueError("a window is longer than an anchor, by 100 words at most")
     kind = docs.schema[id_col].dataType.simpleString()
-    base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).select("__id", F.xxhash64("__text").alias("t"), F.hash("__text").alias("u"), "__text")
-    runs = base.select("t", "u", "__text").mapInArrow(_runs(window, anchor), "t long, u int, a long, c long, d long, r long")
-    at = F.struct("t", "r")
-    same = (F.min("c") == F.max("c")) & (F.min("d") == F.max("d"))
-    blocks = runs.groupBy("a").agg(F.count("*").alias("n"), same.cast("long").alias("whole"), F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("n") > 1).drop("n")
-    own = F.col("t").eqNullSafe(F.col("lo.t")) & F.col("r").eqNullSafe(F.col("lo.r"))
-    match = lambda r: F.struct(r.alias("r"), F.when(own, F.col("hi.t")).otherwise(F.col("lo.t")).alias("source"), F.when(own, F.col("hi.r")).otherwise(F.col("lo.r")).alias("there"))
-    parsed = spread_join(runs.select("t", "u", "a", "r"), blocks, ["a"]).select("t", "u", match(F.col("r").bitwiseOR(F.col("whole"))).alias("m"))
-    found = written(parsed.groupBy("t", "u").agg(F.collect_set("m").alias("ms")), "matches")
-    ends = F.transform(F.filter("ms", lambda m: m["r"].bitwiseAND(F.lit(1)) == 0), lambda m: m["r"])
-    held = spread_join(base, found.select("t", "u", ends.alias("runs")).where(F.size("runs") > 0), ["t", "u"]).select("t", "u", "__text", "runs")
-    checked = held.mapInArrow(_windows(window), "t long, u int, w long, v long, r long")
-    twice = checked.groupBy("w", "v").agg(F.count("*").alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("n") > 1).drop("n")
-    single = spread_join(checked, twice, ["w", "v"]).select("t", "u", match(F.col("r")).alias("m"))
-    whole = found.select("t", "u", F.explode(F.filter("ms", lambda m: m["r"].bitwiseAND(F.lit(1)) == 1)).alias("m"))
-    matches = single.unionByName(whole).groupBy("t", "u").agg(F.collect_set("m").alias("ms"))
+    second_hash = F.hash("__text").bitwiseAND(F.lit((1 << TEXT_BITS) - 1))
+    base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).select("__id", F.xxhash64("__text").alias("t"), second_hash.alias("u"), "__text")
+    runs = base.select("t", "u", "__text").mapInArrow(_runs(window, anchor), "t long, a long, c long, r long")
+    blocks = runs.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("n") > 1).select("a", (F.col("lo") == F.col("hi")).cast("long").alias("whole"))
+    parsed = written(spread_join(runs.select("t", "a", "r"), blocks, ["a"]).select("t", "a", F.col("r").bitwiseOR(F.col("whole")).alias("r")), "runs")
+    copies = F.col("r").bitwiseAND(F.lit(1)) == 1
+    ends = parsed.where(~copies).select("t", _other("r"), "r").groupBy("t", "u").agg(F.collect_set("r").alias("runs"))
+    held = spread_join(base, ends, ["t", "u"]).select("t", "u", "__text", "runs")
+    checked = held.mapInArrow(_windows(window), "t long, w long, v long, r long")
+    twice = checked.groupBy("w", "v").agg(F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
+    single = written(spread_join(checked, twice, ["w", "v"]).select("t", "w", "v", "r"), "windows")
+    matches = _matched(single, ["w", "v"]).unionByName(_matched(parsed.where(copies), ["a"])).groupBy("t", "u").agg(F.collect_set("m").alias("ms"))
     out = spread_join(base, matches, ["t", "u"], "left").select("__id", "__text", "ms")
     return out.mapInArrow(_cut(window), f"__id {kind}, n_words long, n_removed long, factors {FACTORS}, kept string").withColumnRenamed("__id", id_col)
