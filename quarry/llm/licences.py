@@ -257,7 +257,7 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = written(found.withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), F.col("text"))}), "paragraphs")
     split = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
     distinct = found.groupBy("h", "g").agg(F.first("text").alias("text")).select("h", "g", split.alias("ws"))
-    pairs = written(distinct.select("h", "g", _grams(F.col("ws"), 2).alias("have"), F.array_distinct(F.concat(_grams(F.col("ws"), 1), _grams(F.col("ws"), 2), _grams(F.col("ws"), 3))).alias("gs")), "grams")
+    pairs = written(distinct.select("h", "g", F.array_distinct(F.concat(_grams(F.col("ws"), 1), _grams(F.col("ws"), 2), _grams(F.col("ws"), 3))).alias("gs")), "grams")
     scored = pairs.select("h", "g", F.explode("gs").alias("gram")).join(F.broadcast(_weights(spark)), "gram").groupBy("h", "g", "family").agg(F.sum(F.col("w").cast("decimal(18,6)")).cast("double").alias("s"))
     cal = spark.createDataFrame([(f, *c) for f, c in calibration.items()], "family string, bias double, slope double, off double")
     p = 1 / (1 + F.exp(-(F.col("slope") * (F.col("bias") + F.col("s")) + F.col("off"))))
@@ -267,8 +267,8 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     other = F.transform("all", lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["probability"].alias("probability")))
     named = heads.select("h", "g", F.inline(F.when(F.size(named) > 0, named).otherwise(other)))
     templates = spark.createDataFrame([(f, sorted(two)) for f, ts in TEMPLATES.items() for t in ts if (two := {" ".join(x) for x in zip(tokens(t), tokens(t)[1:], strict=False)})], "family string, two array<string>")
-    similar = pairs.select("h", "g", "have").join(named, ["h", "g"]).join(F.broadcast(templates), "family", "left")
-    share = F.size(F.array_intersect("have", "two")) / F.size("two")
+    similar = pairs.join(named, ["h", "g"]).join(F.broadcast(templates), "family", "left")
+    share = F.size(F.array_intersect("gs", "two")) / F.size("two")
     verdict = similar.groupBy("h", "g", "family", "probability").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("similarity"))
     return spread_join(found.select("__id", "paragraph", "h", "g"), verdict, ["h", "g"]).select(
         F.col("__id").alias(id_col),
