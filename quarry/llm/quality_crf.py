@@ -226,13 +226,17 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, int]], l2: float = 1e-3, step
     return model
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, off in text_slices(batch.column(1)):
-            x, size, first = line_features(data, off)
-            both = np.concatenate([x, size[:, None]], axis=1).astype(np.float32)
-            blobs = [both[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary())], names=["label", "x"])
+def _features(max_breaks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in text_slices(batch.column(1)):
+                x, size, first = line_features(data, off)
+                both = np.concatenate([x, size[:, None]], axis=1).astype(np.float32)
+                some = np.flatnonzero(np.diff(first) <= max_breaks + 1)
+                blobs = [both[first[i] : first[i + 1]].tobytes() for i in some.tolist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(some)), pa.array(blobs, pa.binary())], names=["label", "x"])
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_documents: int = MAX_DOCUMENTS, max_breaks: int = MAX_BREAKS) -> Model:
@@ -240,8 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("__y"))
     some = known.orderBy(F.xxhash64("__id"), "__id").limit(max_documents)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(some), "__id").select("__y", "__text")
-    rows = rows.where(F.coalesce(F.length("__text") - F.length(F.translate("__text", "\n", "")), F.lit(0)) <= max_breaks)
-    got = rows.mapInArrow(_features, "label int, x binary").toArrow()
+    got = rows.mapInArrow(_features(max_breaks), "label int, x binary").toArrow()
     width = len(_CLASSES) + 11
     parsed = []
     for y, blob in sorted(zip(got.column("label").to_pylist(), got.column("x").to_pylist(), strict=True)):
