@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,13 +36,27 @@ ABBREVIATIONS = (
 )
 SENTENCE_END = r"(?<=[.!?])\s+(?=[A-ZÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕÇ\d])"
 _FLAGS = "(?iU)"
-_ACCENTED = "ÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-_PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUCNY"
+
+
+@cache
+def _decomposed() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility decomposition has one ASCII character, these, and those with several."""
+    one, several = {}, {}
+    for i in range(0x80, 0x10000):
+        plain = unicodedata.normalize("NFKD", chr(i)).encode("ascii", "ignore").decode()
+        if plain:
+            (one if len(plain) == 1 else several)[chr(i)] = plain
+    return "".join(one), "".join(one.values()), several
 
 
 def fold(c: Column) -> Column:
-    """Upper case without accents and other non-ASCII letters."""
-    return F.regexp_replace(F.translate(F.upper(c), _ACCENTED, _PLAIN), r"[^\x00-\x7F]", "")
+    """Upper case, decomposed by compatibility, without what isn't ASCII then (accents, letters of other scripts)."""
+    accented, plain, several = _decomposed()
+    up = F.upper(c)
+    parts = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(up, ""), lambda x: F.coalesce(F.try_element_at(parts, x), x)), "")
+    up = F.when(up.rlike("[" + "".join(f"\\u{ord(x):04x}" for x in several) + "]"), spelled).otherwise(up)
+    return F.regexp_replace(F.translate(up, accented, plain), r"[^\x00-\x7F]", "")
 
 
 def classify_section(c: Column) -> Column:

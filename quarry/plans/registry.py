@@ -28,3 +28,4 @@ from . import corpus  # noqa: E402, F401
 from . import extraction  # noqa: E402, F401
 from . import search  # noqa: E402, F401
 from . import batch  # noqa: E402, F401
+from . import storage  # noqa: E402, F401

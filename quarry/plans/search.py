@@ -9,6 +9,7 @@ from quarry.functions import numbers as N
 from quarry.operators import retrieval as R
 from quarry.operators import sampling as M
 from quarry.operators import sentiment as Y
+from quarry.sources import files
 from quarry.sources import standin as S
 from quarry.streaming import incremental as I
 
@@ -25,11 +26,31 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
     q = questions(spark, sf_dir).select("query_id", F.substring("query", 1, 60).alias("lead"))
-    return d.join(F.broadcast(q), F.contains("text", "lead")).select("query_id", "doc_id")  # the stated questions, against all rows
+    return d.join(q, F.contains("text", "lead")).select("query_id", "doc_id")  # the stated questions, against all rows; Spark broadcasts them if they are small
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.bm25(S.table(spark, sf_dir, "documents"), questions(spark, sf_dir), "doc_id", "text", 20)
+    return R.bm25_indexed(lexical_index(spark, sf_dir), questions(spark, sf_dir), 20)
+
+
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def lexical_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored index of the documents in a folder, built on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        path = files.fresh_path(spark, "lexical")
+        files.save_lexical(S.table(spark, sf_dir, "documents"), path, "doc_id", "text")
+        _INDEXES[key] = path
+    return files.load_lexical(spark, _INDEXES[key])
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a stored table that several plans read."""
+    path = files.fresh_path(df.sparkSession, name)
+    files.swap_in(df, path)
+    return files.stored(df.sparkSession, path)
 
 
 _SPARSE = rf"""{_QUESTIONS},
@@ -144,10 +165,12 @@ _LISTS = "SELECT 'dense' AS config, query_id, doc_id, rank FROM dense UNION ALL
 
 @query("retrieval_ablation", f"WITH {_RERANKED}, {_measures_sql(_LISTS)} {_MEANS}")
 def retrieval_ablation(spark, sf_dir):
-    rel, q = relevant(spark, sf_dir), questions(spark, sf_dir)
+    rel, q = _kept(relevant(spark, sf_dir), "relevant"), questions(spark, sf_dir)
+    near, words = _kept(dense(spark, sf_dir), "dense"), _kept(sparse(spark, sf_dir), "sparse")
+    both = R.fuse(near, words, 10)
     out = None
-    for name, make in (("dense", dense), ("sparse", sparse), ("hybrid", fused), ("hybrid_rerank", reranked)):
-        m = R.means(R.evaluate(make(spark, sf_dir), rel, q)).withColumn("config", F.lit(name))
+    for name, ranks in (("dense", near), ("sparse", words), ("hybrid", both), ("hybrid_rerank", R.rerank(both, q, _texts(spark, sf_dir), 5))):
+        m = R.means(R.evaluate(ranks, rel, q)).withColumn("config", F.lit(name))
         out = m if out is None else out.unionByName(m)
     return out.select("config", "n_queries", *[F.round(c, 9).alias(c) for c in ("recall_5", "recall_10", "mrr", "ndcg_5", "ndcg_10")])
 
@@ -208,3 +231,9 @@ def event_sliding_windows(spark, sf_dir):
 @query("event_sessions", "WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 hours THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 hours AS stop, count(*) AS n FROM s GROUP BY user_id, k")
 def event_sessions(spark, sf_dir):
     return I.sessions(S.table(spark, sf_dir, "events"), "6 hours")
+
+
+@query("unindexed_top20", f"WITH {_SPARSE} SELECT query_id, doc_id, rank::INT AS rank, round(score, 6) AS score FROM sparse")
+def unindexed_top20(spark, sf_dir):
+    """Lexical search without a stored index."""
+    return R.bm25(S.table(spark, sf_dir, "documents"), questions(spark, sf_dir), "doc_id", "text", 20).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
