@@ -242,9 +242,12 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def _weights(spark: SparkSession) -> DataFrame:
-    rows = [(g, h, w) for h, ws in model()[0].items() for g, w in ws.items()]
-    return spark.createDataFrame(rows, "gram string, family string, w double")
+def _entries(spark: SparkSession) -> DataFrame:
+    """What an n-gram adds: weights of models (notice -1), and one of the 2-grams (size) of a notice."""
+    rows = [(g, h, -1, 1, w) for h, ws in model()[0].items() for g, w in ws.items()]
+    notices = [(f, sorted({" ".join(x) for x in zip(tokens(t), tokens(t)[1:], strict=False)})) for f, ts in TEMPLATES.items() for t in ts]
+    rows += [(g, f, i, len(two), 1.0) for i, (f, two) in enumerate(notices) for g in two]
+    return spark.createDataFrame(rows, "gram string, family string, notice int, size int, w double")
 
 
 def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,20 +259,20 @@ def licence_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = some.select("__id", F.posexplode(F.split("__text", PARAGRAPH_END)).alias("paragraph", "text")).where(F.lower("text").rlike(pattern))
     found = written(found.withColumns({"h": F.xxhash64("text"), "g": F.xxhash64(F.lit(1), F.col("text"))}), "paragraphs")
     split = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
-    distinct = found.groupBy("h", "g").agg(F.first("text").alias("text")).select("h", "g", split.alias("ws"))
-    pairs = written(distinct.select("h", "g", F.array_distinct(F.concat(_grams(F.col("ws"), 1), _grams(F.col("ws"), 2), _grams(F.col("ws"), 3))).alias("gs")), "grams")
-    scored = pairs.select("h", "g", F.explode("gs").alias("gram")).join(F.broadcast(_weights(spark)), "gram").groupBy("h", "g", "family").agg(F.sum(F.col("w").cast("decimal(18,6)")).cast("double").alias("s"))
+    # n-grams are made where they are looked up, never written or shuffled
+    distinct = written(found.groupBy("h", "g").agg(F.first("text").alias("text")), "distinct").select("h", "g", split.alias("ws"))
+    grams_of = F.array_distinct(F.concat(_grams(F.col("ws"), 1), _grams(F.col("ws"), 2), _grams(F.col("ws"), 3)))
+    hits = distinct.select("h", "g", F.explode(grams_of).alias("gram")).join(F.broadcast(_entries(spark)), "gram")
+    sums = hits.groupBy("h", "g", "family", "notice", "size").agg(F.sum(F.col("w").cast("decimal(18,6)")).cast("double").alias("s"))
+    own, shared = F.when(F.col("notice") < 0, F.col("s")), F.when(F.col("notice") >= 0, F.col("s") / F.col("size"))
+    heads = sums.groupBy("h", "g", "family").agg(F.max(own).alias("s"), F.coalesce(F.max(shared), F.lit(0.0)).alias("similarity"))
     cal = spark.createDataFrame([(f, *c) for f, c in calibration.items()], "family string, bias double, slope double, off double")
     p = 1 / (1 + F.exp(-(F.col("slope") * (F.col("bias") + F.col("s")) + F.col("off"))))
-    heads = scored.join(F.broadcast(cal), "family").select("h", "g", "family", p.alias("p")).where(F.col("p") >= THRESHOLD)
-    heads = heads.groupBy("h", "g").agg(F.collect_list(F.struct(F.col("family"), F.col("p").alias("probability"))).alias("all"))
+    heads = heads.join(F.broadcast(cal), "family").withColumn("probability", p).where(F.col("probability") >= THRESHOLD)
+    heads = heads.groupBy("h", "g").agg(F.collect_list(F.struct("family", "probability", "similarity")).alias("all"))
     named = F.filter("all", lambda x: x["family"] != ANY)
-    other = F.transform("all", lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["probability"].alias("probability")))
-    named = heads.select("h", "g", F.inline(F.when(F.size(named) > 0, named).otherwise(other)))
-    templates = spark.createDataFrame([(f, sorted(two)) for f, ts in TEMPLATES.items() for t in ts if (two := {" ".join(x) for x in zip(tokens(t), tokens(t)[1:], strict=False)})], "family string, two array<string>")
-    similar = pairs.join(named, ["h", "g"]).join(F.broadcast(templates), "family", "left")
-    share = F.size(F.array_intersect("gs", "two")) / F.size("two")
-    verdict = similar.groupBy("h", "g", "family", "probability").agg(F.coalesce(F.max(share), F.lit(0.0)).alias("similarity"))
+    other = F.transform("all", lambda x: F.struct(F.lit(UNKNOWN).alias("family"), x["probability"].alias("probability"), F.lit(0.0).alias("similarity")))
+    verdict = heads.select("h", "g", F.inline(F.when(F.size(named) > 0, named).otherwise(other)))
     return spread_join(found.select("__id", "paragraph", "h", "g"), verdict, ["h", "g"]).select(
         F.col("__id").alias(id_col),
         F.col("paragraph").cast("long").alias("paragraph"),
