@@ -76,8 +76,12 @@ def full_texts(blocks: DataFrame) -> DataFrame:
     return whole.select("doc_id", F.array_join("ps", "\n\n").alias("full_text"))
 
 
+def _consolidated() -> Column:
+    return (F.col("y0") < TOP_Y) & F.col("text").rlike("(?iU)" + CONSOLIDATED)
+
+
 def consolidated_pages(blocks: DataFrame) -> DataFrame:
-    return blocks.where((F.col("y0") < TOP_Y) & F.col("text").rlike("(?iU)" + CONSOLIDATED)).select("doc_id", "page").distinct()
+    return blocks.where(_consolidated()).select("doc_id", "page").distinct()
 
 
 def page_scales(blocks: DataFrame) -> DataFrame:
@@ -90,10 +94,23 @@ def page_scales(blocks: DataFrame) -> DataFrame:
     return c.groupBy("doc_id", "page").agg(F.min_by(t, "block").alias("t")).select("doc_id", "page", N.detect_scale(F.col("t")).alias("scale"))
 
 
+def _row_blocks(y0: Column, t: Column) -> Column:
+    return (y0 > DATA_Y) & (t != "")
+
+
+def _height(y0: Column) -> Column:
+    return (F.bround(y0 / 3) * 3).cast("int")
+
+
 def page_rows(blocks: DataFrame) -> DataFrame:
     """(doc_id, page, y, code, description, cells) of table rows: blocks at about one height, left to right."""
     t = N.strip(F.col("text"))
-    b = blocks.where((F.col("y0") > DATA_Y) & (t != "")).withColumns({"y": (F.bround(F.col("y0") / 3) * 3).cast("int"), "t": t})
+    b = blocks.where(_row_blocks(F.col("y0"), t)).withColumns({"y": _height(F.col("y0")), "t": t})
+    return _split_rows(b)
+
+
+def _split_rows(b: DataFrame) -> DataFrame:
+    """Rows of pages from their blocks (doc_id, page, y, x0, block, t)."""
     rows = b.groupBy("doc_id", "page", "y").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "block", "t"))), lambda x: x["t"]), "\n").alias("all"))
     rows = pinned(rows.where(F.col("all").rlike(CODE_LINE)), ["doc_id", "page", "y"], ps=F.transform(F.split("all", "\n"), N.strip))
     is_value = lambda p: p.rlike(VALUE) | (p.startswith("-") & F.substring(p, F.lit(2), F.length(p)).rlike(VALUE)) | (p.startswith("(") & p.endswith(")"))
@@ -109,6 +126,25 @@ def page_rows(blocks: DataFrame) -> DataFrame:
     return rows.where((F.col("description") != "") & (F.size("cells") > 0))
 
 
+def statement_rows(blocks: DataFrame) -> DataFrame:
+    """page_rows of consolidated balance sheets and income statements.
+
+    Blocks are shuffled once, by document: pages, the sections they carry on, and rows are then made where the blocks lie.
+    """
+    b = blocks.repartition("doc_id").select("doc_id", "page", "block", "x0", "y0", "text")
+    b = pinned(b, b.columns, t=N.strip(F.col("text")))
+    top = (F.col("y0") < HEADER_Y) & (F.length("t") >= 4) & ~T.is_banner(F.col("t"))
+    b = pinned(b, b.columns, s=F.when(top, T.classify_section(F.col("t"))))
+    known = F.col("s") != T.UNKNOWN
+    header = F.when(known | (F.col("s").isNotNull() & ~F.col("t").isin(*T.TAGS)), F.struct((~known).alias("unknown"), "y0", "block", "s"))
+    body = F.when(_row_blocks(F.col("y0"), F.col("t")), F.struct(_height(F.col("y0")).alias("y"), "x0", "block", "t"))
+    pages = b.groupBy("doc_id", "page").agg(F.min(header)["s"].alias("own"), F.bool_or(_consolidated()).alias("marked"), F.collect_list(body).alias("body"))
+    before = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
+    carried = pages.withColumn("section", F.last(F.nullif("own", F.lit(T.UNKNOWN)), True).over(before))
+    kept = carried.where(F.col("marked") & F.col("section").isin(T.BALANCE, T.INCOME))
+    return _split_rows(kept.select("doc_id", "page", F.inline("body")))
+
+
 def metric_of(description: Column, code: Column) -> Column:
     """The metric that a row's label names; null for sub-accounts and other labels."""
     out = None
@@ -123,9 +159,7 @@ def metric_rows(blocks: DataFrame, quarterly: Column) -> DataFrame:
 
     quarterly: of doc_id; income statements of quarters have the year to date in their second of four cells.
     """
-    statements = page_sections(blocks).where(F.col("section").isin(T.BALANCE, T.INCOME)).select("doc_id", "page")
-    pages = statements.join(consolidated_pages(blocks), ["doc_id", "page"], "left_semi")
-    table = page_rows(blocks).join(pages, ["doc_id", "page"], "left_semi")
+    table = statement_rows(blocks)
     rows = pinned(table, table.columns, metric_name=metric_of(F.col("description"), F.col("code"))).where(F.col("metric_name").isNotNull())
     second = quarterly & F.col("metric_name").isin(*INCOME_METRICS) & (F.size("cells") >= 4)
     cell = F.when(second, F.try_element_at("cells", F.lit(2))).otherwise(F.element_at("cells", 1))
@@ -142,13 +176,17 @@ def extract_metrics(blocks: DataFrame, quarterly: Column) -> DataFrame:
 
 def extraction_failures(blocks: DataFrame, quarterly: Column) -> DataFrame:
     """(doc_id, metric_name, reason, raw, page): cells that don't parse before a metric is found, and metrics never matched."""
-    rows = metric_rows(blocks, quarterly)
-    found = extract_metrics(blocks, quarterly)
     w = Window.partitionBy("doc_id", "metric_name").orderBy("page", "y", "code").rowsBetween(Window.unboundedPreceding, 0)
-    broken = rows.withColumn("__ok", F.count("value").over(w)).where(F.col("value").isNull() & (F.col("__ok") == 0)).select("doc_id", "metric_name", F.lit("parse_error").alias("reason"), "raw", "page")
-    every = blocks.select("doc_id").distinct().withColumn("metric_name", F.explode(F.array(*[F.lit(m) for m, _ in METRIC_LABELS])))
-    lost = every.join(found, ["doc_id", "metric_name"], "left_anti").select("doc_id", "metric_name", F.lit("row_not_matched").alias("reason"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("int").alias("page"))
-    return broken.withColumn("page", F.col("page").cast("int")).unionByName(lost)
+    rows = metric_rows(blocks, quarterly).withColumn("__ok", F.count("value").over(w))
+    broken = F.col("value").isNull() & (F.col("__ok") == 0)
+    per = rows.groupBy("doc_id").agg(
+        F.collect_set(F.when(F.col("value").isNotNull(), F.col("metric_name"))).alias("found"),
+        F.collect_list(F.when(broken, F.struct("metric_name", F.lit("parse_error").alias("reason"), "raw", F.col("page").cast("int").alias("page")))).alias("broken"),
+    )
+    every = F.array(*[F.lit(m) for m, _ in METRIC_LABELS])
+    lost = F.transform(F.array_except(every, F.coalesce("found", F.array().cast("array<string>"))), lambda m: F.struct(m.alias("metric_name"), F.lit("row_not_matched").alias("reason"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("int").alias("page")))
+    docs = blocks.select("doc_id").distinct().join(per, "doc_id", "left")
+    return docs.select("doc_id", F.inline(F.when(F.col("broken").isNull(), lost).otherwise(F.concat("broken", lost))))
 
 
 def first_in_tables(tables: DataFrame, metric: str, patterns: tuple[str, ...]) -> DataFrame:

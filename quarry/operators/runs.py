@@ -16,10 +16,11 @@ from . import validate as V
 NO_TABLE, WRONG_ROW, NO_NUMBER, OTHER = "table_not_found", "wrong_row", "value_parsing_error", "unknown"
 
 
-def extract(blocks: DataFrame, quarterly: Column, done: DataFrame | None = None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+def extract(blocks: DataFrame, quarterly: Column, done: DataFrame | None = None, limit: int | None = None, keep: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(metrics, statuses) of documents that aren't done, the first by id only where a limit is asked for.
 
     statuses: doc_id, found, unmatched, status; documents without any metric are among them.
+    keep: where the run's metrics are stored, so that statuses and whatever is done with both don't extract them again.
     """
     docs = blocks.select("doc_id").distinct()
     if done is not None:
@@ -29,6 +30,9 @@ def extract(blocks: DataFrame, quarterly: Column, done: DataFrame | None = None,
     if done is not None or limit is not None:
         blocks = blocks.join(docs, "doc_id", "left_semi")
     metrics = L.extract_metrics(L.clean_blocks(blocks), quarterly)
+    if keep is not None:
+        files.swap_in(metrics, keep)
+        metrics = files.stored(blocks.sparkSession, keep)
     found = metrics.groupBy("doc_id").agg(F.count("*").alias("found"))
     n = F.coalesce("found", F.lit(0))
     counted = docs.join(found, "doc_id", "left").select("doc_id", n.alias("found"), (F.lit(len(L.METRIC_LABELS)) - n).alias("unmatched"))

@@ -49,5 +49,7 @@ def required_and_fill(df: DataFrame, required: DataFrame, key: str, size: int, s
     """All rows whose key is required, and drawn others up to size."""
     need = df.join(required.select(key).distinct(), key, "left_semi")
     rest = df.join(required.select(key).distinct(), key, "left_anti")
-    have = need.count()
-    return need.unionByName(sample(rest, F.xxhash64(key) if dict(df.dtypes)[key] == "string" else F.col(key), max(0, size - have), seed))
+    k = F.xxhash64(key) if dict(df.dtypes)[key] == "string" else F.col(key)
+    drawn = sample(rest, k, size, seed).withColumn("__rn", F.row_number().over(Window.orderBy(draw(k, seed), k)))
+    have = need.agg(F.count("*").alias("__have"))
+    return need.unionByName(drawn.join(F.broadcast(have)).where(F.col("__rn") + F.col("__have") <= size).drop("__rn", "__have"))

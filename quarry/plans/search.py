@@ -15,7 +15,7 @@ from quarry.streaming import incremental as I
 
 from .registry import query
 
-# Questions are the benchmark's texts; a document is relevant if it holds the first 60 characters of one.
+# Questions are the benchmark's texts; a document is relevant if it holds one.
 _QUESTIONS = "q AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
 
 
@@ -24,9 +24,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
-    q = questions(spark, sf_dir).select("query_id", F.substring("query", 1, 60).alias("lead"))
-    return d.join(q, F.contains("text", "lead")).select("query_id", "doc_id")  # the stated questions, against all rows; Spark broadcasts them if they are small
+    return R.holding(lexical_index(spark, sf_dir), S.table(spark, sf_dir, "documents"), questions(spark, sf_dir), "doc_id", "text")
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +140,7 @@ def reranked_top5(spark, sf_dir):
     return reranked(spark, sf_dir).select("query_id", "doc_id", "rank", F.round("score", 9).alias("score"))
 
 
-_REL = "rel AS (SELECT query_id, doc_id FROM q, documents WHERE contains(text, query[1:60])), nr AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY 1)"
+_REL = "rel AS (SELECT query_id, doc_id FROM q, documents WHERE contains(text, query)), nr AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY 1)"
 
 
 def _measures_sql(lists: str) -> str:

@@ -82,8 +82,8 @@ def extraction_run(spark, sf_dir):
     """A run over all documents into stored tables, in two parts: the second takes what the first hasn't done."""
     path, b = files.fresh_path(spark, "run"), E.blocks(spark, sf_dir)
     part = b.where(F.pmod(F.hash("doc_id"), F.lit(2)) == 0)
-    runs.store(*runs.extract(part, E._quarterly()), path)
-    runs.store(*runs.extract(b, E._quarterly(), done=files.stored(spark, f"{path}/filings")), path)
+    runs.store(*runs.extract(part, E._quarterly(), keep=files.fresh_path(spark, "first")), path)
+    runs.store(*runs.extract(b, E._quarterly(), done=files.stored(spark, f"{path}/filings"), keep=files.fresh_path(spark, "second")), path)
     counted = files.stored(spark, f"{path}/metrics").groupBy("doc_id").agg(F.count("*").alias("kept"))
     out = files.stored(spark, f"{path}/filings").join(counted, "doc_id", "left")
     return out.select("doc_id", F.coalesce("kept", F.lit(0)).alias("found"), "unmatched", "status")

@@ -1,4 +1,5 @@
 import io
+import random
 import zipfile
 
 import pytest
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import chunking as C
 from quarry.operators import layout as L
+from quarry.operators import resolve as Z
 from quarry.operators import retrieval as R
+from quarry.operators import sampling as M
 from quarry.operators import sections as X
 from quarry.operators import truth as G
 from quarry.operators import upsert as U
@@ -48,6 +51,22 @@ def test_layout(spark):
     assert [s[1] for s in sections] == [T.INCOME, T.BALANCE, T.NOTES] and sections[2][2] == "Texto das notas.\n\nMais texto."
 
 
+def test_statement_rows_like_joins(spark):
+    """Sections carried over pages, marked pages, ties of headers and empty pages, against the parts that make them up."""
+    pick = random.Random(5)
+    heads = ["DFs Consolidadas / Balanço Patrimonial", "DFs Consolidadas / Demonstração do Resultado", "Notas Explicativas", "DFs Individuais / Balanço Patrimonial", "#interna", "DFs Consolidadas", "DFP - x", "  ", None]
+    data = []
+    for d in range(12):
+        for p in range(pick.randint(1, 6)):
+            data += [(f"d{d}", p, i, pick.choice(heads), 10.0, pick.choice([20.0, 20.0, 60.0, 95.0])) for i in range(pick.randint(0, 3))]
+            data += [(f"d{d}", p, 10 + i, pick.choice(["1.01\nAtivo Total\n5", "3.01\nReceita", "7,5", " ", None, "(3)"]), float(pick.randint(1, 3)), 130.0 + 12 * pick.randint(0, 2)) for i in range(pick.randint(0, 6))]
+    b = spark.createDataFrame(data, "doc_id string, page int, block int, text string, x0 double, y0 double")
+    pages = L.page_sections(b).where(F.col("section").isin(T.BALANCE, T.INCOME)).join(L.consolidated_pages(b), ["doc_id", "page"], "left_semi")
+    want = L.page_rows(b).join(pages.select("doc_id", "page"), ["doc_id", "page"], "left_semi")
+    order = ("doc_id", "page", "y", "code", "description")
+    assert rows(L.statement_rows(b), *order) == rows(want, *order) != []
+
+
 def test_sections_of_plain_texts(spark):
     texts = [("a", "[SECTION:DRE]um[SECTION:DRE] dois [SECTION:Outra]x[SECTION:Notas Explicativas]\n\n[SECTION:DRE]três"), ("b", "Capa Notas Explicativas texto. Balanço Patrimonial 1 Notas Explicativas"), ("c", "nada"), ("d", None)]
     got = rows(X.detect(spark.createDataFrame(texts, "doc_id string, full_text string")), "doc_id", "ord")
@@ -175,3 +194,44 @@ def test_files(spark, tmp_path):
     assert rows(files.read_json(spark, str(tmp_path / "j"), "k long").where("k is not null"), "k") == [(1,), (2,)]
     pages = files.document_blocks(spark.createDataFrame([("p", bytearray("um\ndois\ftrês".encode()))], "path string, content binary"))
     assert rows(pages.select("page", "text"), "page", "block") == [(1, "um"), (1, "dois"), (2, "três")]
+
+
+def test_nearest_like_all_pairs(spark):
+    pick = random.Random(3)
+    vs = [(i, [float(pick.randint(-2, 2)) for _ in range(3)]) for i in range(60)] + [(60, None), (61, [0.0, 0.0, 0.0])]
+    qs = [(i, [float(pick.randint(-2, 2)) for _ in range(3)]) for i in range(7)]
+    v = spark.createDataFrame(vs, "id long, e array<double>").repartition(5)
+    q = spark.createDataFrame(qs, "query_id long, vector array<double>")
+    unit = lambda x: [c / (sum(c * c for c in x) ** 0.5 or 1) for c in x]
+    want = []
+    for i, x in qs:
+        scores = sorted((-round(sum(a * b for a, b in zip(unit(x), unit(e), strict=True)), 9), d) for d, e in vs if e is not None)[:9]
+        want += [(i, d, r, -s + 0.0) for r, (s, d) in enumerate(scores)]
+    for size in (1, 100, 1 << 20):
+        assert [(a, b, c, s + 0.0) for a, b, c, s in rows(R.dense(v, q, "id", "e", 9, block_bytes=size), "query_id", "rank")] == want
+    assert R.dense(v, q.where("query_id < 0"), "id", "e", 9).count() == 0
+
+
+def test_holders_like_all_pairs(spark, tmp_path):
+    docs = [(1, "x one two three y"), (2, "one two  three"), (3, "One two three"), (4, "zone two threes"), (5, None), (6, ""), (7, "two three four two")]
+    asked = [(1, "one two three"), (2, "two"), (3, "ne two thr"), (4, "not there at all"), (5, "two three four"), (6, None), (7, " three "), (8, "two three")]
+    d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked, "query_id long, query string")
+    files.save_lexical(d, f"{tmp_path}/i", "doc_id", "text")
+    got = rows(R.holding(files.load_lexical(spark, f"{tmp_path}/i"), d, q, "doc_id", "text"), "query_id", "doc_id")
+    assert got == [(i, n) for i, x in asked for n, t in docs if x is not None and t is not None and x in t]
+
+
+def test_resolution_like_all_pairs(spark):
+    reg = [(1, "Ação S.A.", None, False), (2, "ACAO Holding", "Aço", True), (3, "Banco X", "acao", True), (4, None, "BX", False), (5, "", "", True)]
+    targets = [("A", "ação"), ("B", "bx"), ("C", "banco x"), ("D", "none"), ("E", "S.A."), ("F", None), ("G", "AO H")]
+    df = spark.createDataFrame(reg, "k long, n string, m string, active boolean")
+    t = spark.createDataFrame(targets, "ticker string, name_search string")
+    found = rows(Z.resolve(t, df, ["n", "m"], F.col("active"), ["k"]).select("ticker", "k"), "ticker")
+    assert found == [("A", 2), ("B", 4), ("C", 3), ("E", 1), ("G", 2)]
+
+
+def test_required_and_drawn_rows(spark):
+    df, need = spark.range(100), spark.range(3)
+    got = [r[0] for r in rows(M.required_and_fill(df, need, "id", 10), "id")]
+    assert len(got) == 10 and got[:3] == [0, 1, 2]
+    assert M.required_and_fill(df, spark.range(20), "id", 10).count() == 20
