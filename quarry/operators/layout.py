@@ -126,8 +126,8 @@ def _split_rows(b: DataFrame) -> DataFrame:
     return rows.where((F.col("description") != "") & (F.size("cells") > 0))
 
 
-def statement_rows(blocks: DataFrame) -> DataFrame:
-    """page_rows of consolidated balance sheets and income statements.
+def statement_rows(blocks: DataFrame, sections: tuple[str, ...] | None = (T.BALANCE, T.INCOME)) -> DataFrame:
+    """page_rows of consolidated pages in the sections named, or in any.
 
     Blocks are shuffled once, by document: pages, the sections they carry on, and rows are then made where the blocks lie.
     """
@@ -141,7 +141,7 @@ def statement_rows(blocks: DataFrame) -> DataFrame:
     pages = b.groupBy("doc_id", "page").agg(F.min(header)["s"].alias("own"), F.bool_or(_consolidated()).alias("marked"), F.collect_list(body).alias("body"))
     before = Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
     carried = pages.withColumn("section", F.last(F.nullif("own", F.lit(T.UNKNOWN)), True).over(before))
-    kept = carried.where(F.col("marked") & F.col("section").isin(T.BALANCE, T.INCOME))
+    kept = pages.where("marked") if sections is None else carried.where(F.col("marked") & F.col("section").isin(*sections))
     return _split_rows(kept.select("doc_id", "page", F.inline("body")))
 
 

@@ -52,7 +52,7 @@ def store(metrics: DataFrame, statuses: DataFrame, path: str) -> None:
 def failure_kinds(blocks: DataFrame, quarterly: Column, truth: DataFrame) -> DataFrame:
     """(doc_id, metric_name, kind): no table, no such row, no number in it, or a value that isn't the truth's. truth: filing_id, metric_name, value."""
     lost = L.extraction_failures(blocks, quarterly)
-    tables = L.page_rows(blocks).join(L.consolidated_pages(blocks), ["doc_id", "page"], "left_semi").select("doc_id").distinct().withColumn("some", F.lit(True))
+    tables = L.statement_rows(blocks, None).select("doc_id").distinct().withColumn("some", F.lit(True))
     kind = F.when(F.col("reason") == "parse_error", NO_NUMBER).when(F.col("some"), WRONG_ROW).otherwise(NO_TABLE)
     lost = lost.join(tables, "doc_id", "left").select("doc_id", "metric_name", kind.alias("kind"))
     found = L.extract_metrics(blocks, quarterly).withColumnRenamed("doc_id", "filing_id")

@@ -65,6 +65,7 @@ def test_statement_rows_like_joins(spark):
     want = L.page_rows(b).join(pages.select("doc_id", "page"), ["doc_id", "page"], "left_semi")
     order = ("doc_id", "page", "y", "code", "description")
     assert rows(L.statement_rows(b), *order) == rows(want, *order) != []
+    assert rows(L.statement_rows(b, None), *order) == rows(L.page_rows(b).join(L.consolidated_pages(b), ["doc_id", "page"], "left_semi"), *order)
 
 
 def test_sections_of_plain_texts(spark):
